@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -87,6 +89,13 @@ def with_processed_at(df: DataFrame, processed_at: Column | None = None) -> Data
     return df.withColumn("processed_at", stamp)
 
 
+# Rows are compared as text: keep all digits of a time.
+_FULL_TIME = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def newest_copy(
     bars: DataFrame,
     *,
@@ -101,10 +110,8 @@ def newest_copy(
     same on every run. Rows without a complete key cannot be told to be copies
     of each other, so only rows equal in every column are merged there.
     """
-    incomplete = F.lit(False)
-    for name in key:
-        incomplete = incomplete | F.col(name).isNull()
-    whole_row = F.when(incomplete, F.struct(*bars.columns))
+    incomplete = reduce(or_, (F.col(name).isNull() for name in key))
+    whole_row = F.when(incomplete, F.to_json(F.struct(*bars.columns), _FULL_TIME))
     rest = [name for name in bars.columns if name not in (*key, *recency)]
     order = [F.col(name).desc_nulls_last() for name in (*recency, *rest)]
     window = Window.partitionBy(*key, whole_row).orderBy(*order)

@@ -154,7 +154,7 @@ SELECT 'date', CAST(date AS varchar), market_avg_close, market_avg_volume FROM m
     "gold_replace": f"WITH {BARS}, {_symbol('bars')} SELECT * FROM per_symbol",
     "gold_sql_view": f"""
 WITH {BARS}, {_daily('bars')}, {_market('bars')}
-SELECT d.symbol, d.date, d.avg_close, m.market_avg_close, d.data_points
+SELECT d.symbol, d.date, d.avg_close, m.market_avg_close
 FROM daily d JOIN market m ON d.date = m.date
 WHERE d.avg_close > m.market_avg_close""",
 }

@@ -10,8 +10,6 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,7 +71,9 @@ def bronze_to_silver(
     if raw.isEmpty():
         return False
     tagged = with_reason(raw).withColumn("reason", F.coalesce("reason", F.lit("none")))
-    replace_table(tagged, lake.documents, fmt=lake.fmt, partition_by=("reason",))
+    replace_table(
+        tagged, lake.documents, fmt=lake.fmt, partition_by=("reason",), rebalance=False
+    )
     documents = read_table(spark, lake.documents, fmt=lake.fmt)
 
     good = documents.where(~F.col("reason").isin(*REJECTED))
@@ -83,24 +83,23 @@ def bronze_to_silver(
     return True
 
 
-def read_silver(spark: SparkSession, lake: Lake, *, months: Sequence | None = None) -> DataFrame:
-    """Silver with the newest copy of each bar, of some months or of all."""
-    stored = read_table(spark, lake.silver, fmt=lake.fmt)
-    if months is not None:
-        stored = stored.where(_in_months(months))
+def read_silver(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Silver with the newest copy of each bar."""
+    return _newest(read_table(spark, lake.silver, fmt=lake.fmt), lake)
+
+
+def _newest(stored: DataFrame, lake: Lake) -> DataFrame:
     recency = ("ingested_at", BATCH, "source_file")
     return newest_copy(stored, key=lake.key, recency=recency).drop(BATCH)
 
 
 def _in_months(months: Sequence[datetime.date | None]) -> Column:
-    """A static list of partition values, so unwanted folders are never listed.
+    """A static list of partition values, so only those folders are read.
 
     Bars without a valid time are in the NULL partition.
     """
-    conditions = [F.col("month").isin([m for m in months if m is not None])]
-    if None in months:
-        conditions.append(F.col("month").isNull())
-    return reduce(or_, conditions)
+    listed = F.col("month").isin([month for month in months if month is not None])
+    return listed | F.col("month").isNull() if None in months else listed
 
 
 def changed_months(spark: SparkSession, lake: Lake, *, after_batch: int) -> list:
@@ -113,24 +112,25 @@ def changed_months(spark: SparkSession, lake: Lake, *, after_batch: int) -> list
     return [row.month for row in later.select("month").distinct().collect()]
 
 
-def _write_gold(
-    spark: SparkSession, lake: Lake, processed_at: Column | None, scale: int | None
-) -> None:
-    """The three metric tables, from the daily rollup that was just written."""
-    stored = read_table(spark, lake.gold_table(ROLLUP), fmt=lake.fmt)
-    stamp = F.current_timestamp() if processed_at is None else processed_at
-    tables = {
-        "symbol_metrics": finish_symbol(merge_rollups(stored, ["symbol"], scale=scale), scale=scale),
-        "market_metrics": finish_market(merge_rollups(stored, ["date"], scale=scale), scale=scale),
-    }
-    for name, frame in tables.items():
-        replace_table(with_processed_at(frame, stamp), lake.gold_table(name), fmt=lake.fmt)
-
-
 def _daily(rollups: DataFrame, processed_at: Column | None, scale: int | None) -> DataFrame:
     return with_month(with_processed_at(finish_daily(rollups, scale=scale), processed_at))
 
 
+def _replace_all_time(
+    rollups: DataFrame, lake: Lake, processed_at: Column | None, scale: int | None
+) -> None:
+    """The tables that cover all symbols or dates, from the stored daily rollup."""
+    per_symbol = merge_rollups(rollups, ["symbol"], scale=scale)
+    per_date = merge_rollups(rollups, ["date"], scale=scale)
+    for name, frame in (
+        ("symbol_metrics", finish_symbol(per_symbol, scale=scale)),
+        ("market_metrics", finish_market(per_date, scale=scale)),
+    ):
+        replace_table(
+            with_processed_at(frame, processed_at), lake.gold_table(name), fmt=lake.fmt
+        )
+
+
 def silver_to_gold(
     spark: SparkSession,
     lake: Lake,
@@ -140,31 +140,26 @@ def silver_to_gold(
 ) -> bool:
     """Rebuild all gold tables. Returns False if silver is empty.
 
-    Silver is read and shuffled once, into the daily rollup. That table is
-    written out, and the three metric tables are computed from it.
+    Silver is read once, into the daily rollup. That table is written out, and
+    the three metric tables are computed from it.
     """
-    if read_table(spark, lake.silver, fmt=lake.fmt).isEmpty():
+    silver = read_table(spark, lake.silver, fmt=lake.fmt)
+    if silver.isEmpty():
         return False
-    rollups = with_month(daily_rollup(read_silver(spark, lake), scale=scale))
-    replace_table(
-        rollups, lake.gold_table(ROLLUP), fmt=lake.fmt, partition_by=("month",), sort_by=("symbol",)
-    )
+    layout = {"fmt": lake.fmt, "partition_by": ("month",), "sort_by": ("symbol",)}
+    rollups = with_month(daily_rollup(_newest(silver, lake), scale=scale))
+    replace_table(rollups, lake.gold_table(ROLLUP), **layout)
     stored = read_table(spark, lake.gold_table(ROLLUP), fmt=lake.fmt)
-    replace_table(
-        _daily(stored, processed_at, scale),
-        lake.gold_table("daily_metrics"),
-        fmt=lake.fmt,
-        partition_by=("month",),
-        sort_by=("symbol",),
-    )
-    _write_gold(spark, lake, processed_at, scale)
+    daily = _daily(stored, processed_at, scale)
+    replace_table(daily, lake.gold_table("daily_metrics"), rebalance=False, **layout)
+    _replace_all_time(stored, lake, processed_at, scale)
     return True
 
 
 def refresh_gold(
     spark: SparkSession,
     lake: Lake,
-    months: Sequence,
+    months: Sequence[datetime.date | None],
     *,
     processed_at: Column | None = None,
     scale: int | None = None,
@@ -178,16 +173,11 @@ def refresh_gold(
     """
     if not months:
         return
-    rollups = with_month(daily_rollup(read_silver(spark, lake, months=months), scale=scale))
-    replace_partitions(
-        rollups, lake.gold_table(ROLLUP), fmt=lake.fmt, partition_by=("month",), sort_by=("symbol",)
-    )
-    stored = read_table(spark, lake.gold_table(ROLLUP), fmt=lake.fmt).where(_in_months(months))
-    replace_partitions(
-        _daily(stored, processed_at, scale),
-        lake.gold_table("daily_metrics"),
-        fmt=lake.fmt,
-        partition_by=("month",),
-        sort_by=("symbol",),
-    )
-    _write_gold(spark, lake, processed_at, scale)
+    layout = {"fmt": lake.fmt, "partition_by": ("month",), "sort_by": ("symbol",)}
+    silver = read_table(spark, lake.silver, fmt=lake.fmt).where(_in_months(months))
+    rollups = with_month(daily_rollup(_newest(silver, lake), scale=scale))
+    replace_partitions(rollups, lake.gold_table(ROLLUP), **layout)
+    stored = read_table(spark, lake.gold_table(ROLLUP), fmt=lake.fmt)
+    daily = _daily(stored.where(_in_months(months)), processed_at, scale)
+    replace_partitions(daily, lake.gold_table("daily_metrics"), rebalance=False, **layout)
+    _replace_all_time(stored, lake, processed_at, scale)

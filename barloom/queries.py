@@ -412,7 +412,7 @@ def gold_replace(spark, sf_dir):
 
 
 VIEW_SQL = """
-SELECT d.symbol, d.date, d.avg_close, m.market_avg_close, d.data_points
+SELECT d.symbol, d.date, d.avg_close, m.market_avg_close
 FROM daily_metrics d JOIN market_metrics m ON d.date = m.date
 WHERE d.avg_close > m.market_avg_close
 """

@@ -30,16 +30,18 @@ def register_views(tables: Mapping[str, DataFrame]) -> None:
 
 
 def _writer(
-    df: DataFrame, fmt: str, partition_by: Sequence[str], sort_by: Sequence[str]
+    df: DataFrame, fmt: str, partition_by: Sequence[str], sort_by: Sequence[str], rebalance: bool
 ) -> DataFrameWriter:
     """Lay rows out for the write.
 
     The rebalance brings the rows of one partition folder together and splits
     a folder that is too large for one task, so files are neither tiny nor huge
-    whatever the skew. Sorting inside a file narrows the min/max statistics
-    that let a later filter skip row groups.
+    whatever the skew. Pass ``rebalance=False`` for rows that are already
+    together, or for so few folders that each task may write to all of them:
+    it saves a shuffle of the whole table. Sorting inside a file narrows the
+    min/max statistics that let a later filter skip row groups.
     """
-    if partition_by:
+    if partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
     if sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
@@ -54,8 +56,9 @@ def append_table(
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
     sort_by: Sequence[str] = (),
+    rebalance: bool = True,
 ) -> None:
-    _writer(df, fmt, partition_by, sort_by).mode("append").save(path)
+    _writer(df, fmt, partition_by, sort_by, rebalance).mode("append").save(path)
 
 
 def replace_table(
@@ -65,10 +68,11 @@ def replace_table(
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
     sort_by: Sequence[str] = (),
+    rebalance: bool = True,
 ) -> None:
     """Replace the whole table, whatever overwrite mode the session has."""
     (
-        _writer(df, fmt, partition_by, sort_by)
+        _writer(df, fmt, partition_by, sort_by, rebalance)
         .option("partitionOverwriteMode", "static")
         .mode("overwrite")
         .save(path)
@@ -82,10 +86,11 @@ def replace_partitions(
     partition_by: Sequence[str],
     fmt: str = "parquet",
     sort_by: Sequence[str] = (),
+    rebalance: bool = True,
 ) -> None:
     """Replace the partitions ``df`` has rows for; leave the others alone."""
     (
-        _writer(df, fmt, partition_by, sort_by)
+        _writer(df, fmt, partition_by, sort_by, rebalance)
         .option("partitionOverwriteMode", "dynamic")
         .mode("overwrite")
         .save(path)
