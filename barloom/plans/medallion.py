@@ -30,6 +30,7 @@ from barloom.operators.metrics import (
 )
 from barloom.operators.quality import REJECTED, quarantined, with_reason
 from barloom.plans.lake import Lake
+from barloom.schemas import SILVER_DDL
 from barloom.sources.documents import read_documents
 from barloom.sources.tables import read_table, replace_partitions, replace_table
 
@@ -83,9 +84,14 @@ def bronze_to_silver(
     return True
 
 
+def _stored_silver(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Silver as stored, with every copy of a bar."""
+    return read_table(spark, lake.silver, fmt=lake.fmt, schema=SILVER_DDL)
+
+
 def read_silver(spark: SparkSession, lake: Lake) -> DataFrame:
     """Silver with the newest copy of each bar."""
-    return _newest(read_table(spark, lake.silver, fmt=lake.fmt), lake)
+    return _newest(_stored_silver(spark, lake), lake)
 
 
 def _newest(stored: DataFrame, lake: Lake) -> DataFrame:
@@ -107,7 +113,7 @@ def changed_months(spark: SparkSession, lake: Lake, *, after_batch: int) -> list
 
     Brought to the driver: the list is bounded by the calendar, twelve a year.
     """
-    stored = read_table(spark, lake.silver, fmt=lake.fmt)
+    stored = _stored_silver(spark, lake)
     later = stored.where(F.col(BATCH) > after_batch)
     return [row.month for row in later.select("month").distinct().collect()]
 
@@ -143,7 +149,7 @@ def silver_to_gold(
     Silver is read once, into the daily rollup. That table is written out, and
     the three metric tables are computed from it.
     """
-    silver = read_table(spark, lake.silver, fmt=lake.fmt)
+    silver = _stored_silver(spark, lake)
     if silver.isEmpty():
         return False
     layout = {"fmt": lake.fmt, "partition_by": ("month",), "sort_by": ("symbol",)}
@@ -174,7 +180,7 @@ def refresh_gold(
     if not months:
         return
     layout = {"fmt": lake.fmt, "partition_by": ("month",), "sort_by": ("symbol",)}
-    silver = read_table(spark, lake.silver, fmt=lake.fmt).where(_in_months(months))
+    silver = _stored_silver(spark, lake).where(_in_months(months))
     rollups = with_month(daily_rollup(_newest(silver, lake), scale=scale))
     replace_partitions(rollups, lake.gold_table(ROLLUP), **layout)
     stored = read_table(spark, lake.gold_table(ROLLUP), fmt=lake.fmt)

@@ -23,6 +23,14 @@ CHART_DDL = (
 RAW_TEXT = "raw_text"
 DOCUMENT_DDL = f"{CHART_DDL}, {RAW_TEXT} string"
 
+# Silver as it is stored; the last two are partition folders.
+SILVER_DDL = (
+    "symbol string, datetime timestamp, date date, open double, high double, low double, "
+    "close double, volume bigint, adjclose double, currency string, exchange string, "
+    "exchange_timezone string, source_file string, ingested_at timestamp, local_date date, "
+    "processed_at timestamp, ingest_batch int, month date"
+)
+
 PRICE_COLUMNS = ("open", "high", "low", "close")
 VALUE_COLUMNS = PRICE_COLUMNS + ("volume", "adjclose")
 

@@ -14,8 +14,19 @@ class GoldTables(NamedTuple):
     market_metrics: DataFrame
 
 
-def read_table(spark: SparkSession, path: str, *, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(path)
+# Formats that are plain files; the others keep a schema of their own.
+FILE_FORMATS = ("parquet", "orc", "json")
+
+
+def read_table(
+    spark: SparkSession, path: str, *, fmt: str = "parquet", schema: str | None = None
+) -> DataFrame:
+    """Read a table. A declared ``schema`` saves inferring it from the files,
+    and lets a table that has no file yet be read as empty."""
+    reader = spark.read.format(fmt)
+    if schema is not None and fmt in FILE_FORMATS:
+        reader = reader.schema(schema)
+    return reader.load(path)
 
 
 def read_gold(spark: SparkSession, path: str, *, fmt: str = "parquet") -> GoldTables:

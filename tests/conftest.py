@@ -21,6 +21,9 @@ def spark():
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
+            # Plans are compared as text: print them whole.
+            "spark.sql.maxMetadataStringLength": "10000",
+            "spark.sql.debug.maxToStringFields": "1000",
         },
     )
     session.sparkContext.setLogLevel("ERROR")
