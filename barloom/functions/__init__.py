@@ -1,6 +1,6 @@
 """Column functions. All of them are built-in Spark expressions."""
 
-from barloom.functions.exact import ExactSum, mean
+from barloom.functions.exact import ExactSum
 from barloom.functions.time import (
     calendar_bucket,
     epoch_date,
@@ -14,7 +14,6 @@ from barloom.functions.time import (
 
 __all__ = [
     "ExactSum",
-    "mean",
     "calendar_bucket",
     "epoch_date",
     "epoch_text",

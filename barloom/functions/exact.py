@@ -18,6 +18,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SPLIT = 1_000_000
+# Up to here millions * SPLIT + rest is a bigint.
+MAX_MILLIONS = 4 * 10**12
+MAX_REST = 4 * 10**18
 
 
 @dataclass(frozen=True)
@@ -51,15 +54,27 @@ class ExactSum:
         """Aggregates over rows that already hold partial sums."""
         return [F.sum(name).alias(name) for name in self.columns]
 
-    def total(self) -> Column:
-        """The sum: a double, or a decimal with ``scale`` places."""
+    def _units(self) -> Column:
+        """The exact sum as a bigint; NULL if it does not fit one."""
+        millions, rest = (F.col(name) for name in self.columns)
+        fits = (F.abs(millions) <= MAX_MILLIONS) & (F.abs(rest) <= MAX_REST)
+        return F.when(fits, millions * SPLIT + rest)
+
+    def _wide_units(self) -> Column:
+        """The exact sum as a decimal, which is slow but has room for any sum."""
+        millions, rest = (F.col(name) for name in self.columns)
+        return millions.cast("decimal(20,0)") * F.lit(Decimal(SPLIT)) + rest
+
+    def as_double(self) -> Column:
         if self.scale is None:
             return F.col(self.columns[0])
-        millions, rest = (F.col(name).cast("decimal(20,0)") for name in self.columns)
-        units = millions * F.lit(Decimal(SPLIT)) + rest
-        return units if self.scale == 0 else units * F.lit(Decimal(1).scaleb(-self.scale))
+        units = F.coalesce(self._units().cast("double"), self._wide_units().cast("double"))
+        return units / 10.0**self.scale
 
+    def as_bigint(self) -> Column:
+        """The sum of an integer column; raises if it overflows."""
+        return F.coalesce(self._units(), self._wide_units().cast("bigint"))
 
-def mean(total: Column, count: Column) -> Column:
-    """``total / count`` as a double, NULL for an empty group."""
-    return F.try_divide(total.cast("double"), count)
+    def mean(self, count: Column) -> Column:
+        """The mean as a double, NULL for an empty group."""
+        return F.try_divide(self.as_double(), count)

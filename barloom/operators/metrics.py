@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.functions.exact import ExactSum, mean
+from barloom.functions.exact import ExactSum
 
 DAILY_KEY = ("symbol", "date")
 VOLUME = ExactSum("volume", 0)
@@ -69,11 +69,11 @@ def finish_daily(rollups: DataFrame, *, scale: int | None = None) -> DataFrame:
     return rollups.select(
         "symbol",
         "date",
-        mean(ExactSum("open", scale).total(), F.col("n_open")).alias("avg_open"),
-        mean(ExactSum("close", scale).total(), F.col("n_close")).alias("avg_close"),
+        ExactSum("open", scale).mean(F.col("n_open")).alias("avg_open"),
+        ExactSum("close", scale).mean(F.col("n_close")).alias("avg_close"),
         "max_high",
         "min_low",
-        VOLUME.total().cast("bigint").alias("total_volume"),
+        VOLUME.as_bigint().alias("total_volume"),
         "data_points",
     )
 
@@ -82,10 +82,10 @@ def finish_symbol(rollups: DataFrame, *, scale: int | None = None) -> DataFrame:
     """All-time table from a rollup per symbol."""
     return rollups.select(
         "symbol",
-        mean(ExactSum("close", scale).total(), F.col("n_close")).alias("avg_close"),
+        ExactSum("close", scale).mean(F.col("n_close")).alias("avg_close"),
         F.col("max_high").alias("max_high_all_time"),
         F.col("min_low").alias("min_low_all_time"),
-        mean(VOLUME.total(), F.col("n_volume")).alias("avg_volume"),
+        VOLUME.mean(F.col("n_volume")).alias("avg_volume"),
         F.col("data_points").alias("total_data_points"),
     )
 
@@ -100,8 +100,8 @@ def finish_market(rollups: DataFrame, *, scale: int | None = None) -> DataFrame:
     extra = ["distinct_symbols"] if "distinct_symbols" in rollups.columns else []
     return rollups.select(
         "date",
-        mean(ExactSum("close", scale).total(), F.col("n_close")).alias("market_avg_close"),
-        mean(VOLUME.total(), F.col("n_volume")).alias("market_avg_volume"),
+        ExactSum("close", scale).mean(F.col("n_close")).alias("market_avg_close"),
+        VOLUME.mean(F.col("n_volume")).alias("market_avg_volume"),
         F.col("n_symbol").alias("symbols_count"),
         *extra,
     )
@@ -136,13 +136,11 @@ def mean_of_daily_close(daily: DataFrame, *, scale: int | None = None) -> DataFr
     """Per symbol, the unweighted mean of the daily means in the daily table."""
     total = ExactSum("avg_close", scale)
     sums = daily.groupBy("symbol").agg(*total.partial(), F.count("avg_close").alias("days"))
-    return sums.select("symbol", mean(total.total(), F.col("days")).alias("avg_close"))
+    return sums.select("symbol", total.mean(F.col("days")).alias("avg_close"))
 
 
 def weighted_close(rollups: DataFrame, *, scale: int | None = None) -> DataFrame:
     """Per symbol, the mean close with every bar weighted equally."""
     merged = merge_rollups(rollups, ["symbol"], scale=scale)
-    total = ExactSum("close", scale).total()
-    return merged.select(
-        "symbol", mean(total, F.col("n_close")).alias("weighted_close"), "n_close"
-    )
+    mean = ExactSum("close", scale).mean(F.col("n_close"))
+    return merged.select("symbol", mean.alias("weighted_close"), "n_close")
