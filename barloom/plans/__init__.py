@@ -7,6 +7,7 @@ from barloom.plans.medallion import (
     read_silver,
     refresh_gold,
     silver_to_gold,
+    update_gold,
 )
 
 __all__ = [
@@ -16,4 +17,5 @@ __all__ = [
     "read_silver",
     "refresh_gold",
     "silver_to_gold",
+    "update_gold",
 ]

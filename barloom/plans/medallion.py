@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,10 +33,13 @@ from barloom.operators.quality import REJECTED, quarantined, with_reason
 from barloom.plans.lake import Lake
 from barloom.schemas import SILVER_DDL
 from barloom.sources.documents import read_documents
-from barloom.sources.tables import read_table, replace_partitions, replace_table
+from barloom.sources.tables import append_table, read_table, replace_partitions, replace_table
 
 BATCH = "ingest_batch"
 ROLLUP = "daily_rollup"
+# Which ingest batch gold is up to date with; appended to after each refresh.
+PROGRESS = "progress"
+PROGRESS_DDL = "ingest_batch int"
 SILVER_ORDER = ("symbol", "datetime")
 
 
@@ -118,6 +122,27 @@ def changed_months(spark: SparkSession, lake: Lake, *, after_batch: int) -> list
     return [row.month for row in later.select("month").distinct().collect()]
 
 
+def _newest_batch(silver: DataFrame) -> int:
+    """Read from partition folders only."""
+    return silver.agg(F.max(BATCH)).first()[0]
+
+
+def _record_progress(spark: SparkSession, lake: Lake, batch: int) -> None:
+    row = spark.createDataFrame([(batch,)], PROGRESS_DDL)
+    append_table(row, lake.gold_table(PROGRESS), fmt=lake.fmt)
+
+
+def _progress(spark: SparkSession, lake: Lake) -> int | None:
+    """The last batch gold contains; None if gold was never written."""
+    try:
+        stored = read_table(spark, lake.gold_table(PROGRESS), fmt=lake.fmt, schema=PROGRESS_DDL)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return _newest_batch(stored)
+
+
 def _daily(rollups: DataFrame, processed_at: Column | None, scale: int | None) -> DataFrame:
     return with_month(with_processed_at(finish_daily(rollups, scale=scale), processed_at))
 
@@ -159,6 +184,7 @@ def silver_to_gold(
     daily = _daily(stored, processed_at, scale)
     replace_table(daily, lake.gold_table("daily_metrics"), rebalance=False, **layout)
     _replace_all_time(stored, lake, processed_at, scale)
+    _record_progress(spark, lake, _newest_batch(silver))
     return True
 
 
@@ -187,3 +213,27 @@ def refresh_gold(
     daily = _daily(stored.where(_in_months(months)), processed_at, scale)
     replace_partitions(daily, lake.gold_table("daily_metrics"), rebalance=False, **layout)
     _replace_all_time(stored, lake, processed_at, scale)
+
+
+def update_gold(
+    spark: SparkSession,
+    lake: Lake,
+    *,
+    processed_at: Column | None = None,
+    scale: int | None = None,
+) -> None:
+    """Refresh gold with the batches ingested since it was last brought up to date.
+
+    Progress is recorded last, and refreshing again is harmless, so a run that
+    fails half way is made good by the next one. After ``bronze_to_silver``
+    call ``silver_to_gold``: a full rebuild of silver has no new batch number.
+    """
+    done = _progress(spark, lake)
+    if done is None:
+        silver_to_gold(spark, lake, processed_at=processed_at, scale=scale)
+        return
+    newest = _newest_batch(_stored_silver(spark, lake))
+    if newest > done:
+        months = changed_months(spark, lake, after_batch=done)
+        refresh_gold(spark, lake, months, processed_at=processed_at, scale=scale)
+        _record_progress(spark, lake, newest)

@@ -21,10 +21,9 @@ from barloom.operators.pack import pack_documents
 from barloom.plans.lake import Lake
 from barloom.plans.medallion import (
     bronze_to_silver,
-    changed_months,
     read_silver,
-    refresh_gold,
     silver_to_gold,
+    update_gold,
 )
 from barloom.scratch import scratch_folder
 from barloom.session import apply_runtime_conf
@@ -355,18 +354,18 @@ def _ingest_twice(spark, sf_dir, name, after_first=None):
     lake = Lake(scratch_folder(spark, name))
     stale, new = _stale_and_new(spark, sf_dir)
     _land_run(stale, lake, "19980101_000000")
-    first = ingest_new(spark, lake)
+    ingest_new(spark, lake)
     if after_first is not None:
         after_first(lake)
     _land_run(new, lake, "20020101_000000")
     ingest_new(spark, lake)
-    return lake, first[-1]
+    return lake
 
 
 @query
 def incremental_ingest(spark, sf_dir):
     """Two landings and three runs: each file is read once, corrections win."""
-    lake, _ = _ingest_twice(spark, sf_dir, "incremental")
+    lake = _ingest_twice(spark, sf_dir, "incremental")
     ingest_new(spark, lake)
     return _prices(read_silver(spark, lake), "symbol", "date")
 
@@ -374,10 +373,10 @@ def incremental_ingest(spark, sf_dir):
 @query
 def gold_partition_overwrite(spark, sf_dir):
     """Gold after a refresh of only the months the second landing touched."""
-    lake, first = _ingest_twice(
-        spark, sf_dir, "refresh", lambda lake: silver_to_gold(spark, lake, scale=SCALE)
+    lake = _ingest_twice(
+        spark, sf_dir, "refresh", lambda lake: update_gold(spark, lake, scale=SCALE)
     )
-    refresh_gold(spark, lake, changed_months(spark, lake, after_batch=first), scale=SCALE)
+    update_gold(spark, lake, scale=SCALE)
     return read_gold(spark, lake.gold).daily_metrics.drop("month", "processed_at")
 
 

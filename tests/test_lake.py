@@ -8,6 +8,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from barloom.__main__ import main
 from barloom.plans import (
     Lake,
     bronze_to_silver,
@@ -15,7 +16,9 @@ from barloom.plans import (
     read_silver,
     refresh_gold,
     silver_to_gold,
+    update_gold,
 )
+from barloom.plans import medallion
 from barloom.sources import append_table, read_gold, read_table, register_views, replace_table
 from barloom.streaming import ingest as ingest_module
 from barloom.streaming import ingest_new
@@ -184,6 +187,41 @@ def test_sql_over_registered_views(spark, lake):
     assert row.n == 2
 
 
+def test_update_catches_up_after_a_failed_refresh(spark, lake, monkeypatch):
+    put(lake, "1.json", document(result("A", times=(JAN,), close=[1.0])))
+    ingest_new(spark, lake)
+    update_gold(spark, lake)
+    put(lake, "2.json", document(result("A", times=(JAN, FEB), close=[2.0, 3.0])))
+    ingest_new(spark, lake)
+
+    def fail(*args, **kwargs):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(medallion, "_replace_all_time", fail)
+        with pytest.raises(OSError):
+            update_gold(spark, lake)
+    assert ingest_new(spark, lake) == []
+    update_gold(spark, lake)
+    updated = gold_rows(spark, lake)
+    assert read_gold(spark, lake.gold).symbol_metrics.first().avg_close == 2.5
+    silver_to_gold(spark, lake)
+    assert gold_rows(spark, lake) == updated
+    monkeypatch.setattr(medallion, "refresh_gold", fail)
+    update_gold(spark, lake)  # nothing new: nothing refreshed
+
+
+def test_jobs_from_the_command_line(spark, lake):
+    put(lake, "1.json", document(result("A", times=(JAN,))))
+    main(["ingest", "--root", lake.root, "--then-gold", "--scale", "6"])
+    put(lake, "2.json", document(result("B", times=(FEB,))))
+    main(["ingest", "--root", lake.root, "--then-gold", "--scale", "6"])
+    before = gold_rows(spark, lake)
+    assert len(before[1]) == 2
+    main(["rebuild", "--root", lake.root, "--scale", "6"])
+    assert gold_rows(spark, lake) == before
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "orc", "json"])
 def test_formats_append_and_replace(spark, folder, fmt):
     rows = spark.createDataFrame([("A", 1)], "symbol string, n bigint")
