@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import zoneinfo
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -56,10 +55,11 @@ def epoch_text(epoch: Column) -> Column:
 def local_date(timestamp: Column, zone: Column) -> Column:
     """The date at the exchange; NULL for a zone name that does not exist.
 
-    ``from_utc_timestamp`` fails the whole job on an unknown zone, so names are
-    checked first.
+    ``from_utc_timestamp`` fails the whole job on an unknown zone, so each name
+    is first tried in a cast that gives NULL instead.
     """
-    known = zone.isin(sorted(zoneinfo.available_timezones()))
+    probe = F.concat(F.lit("1970-01-01 00:00:00 "), zone).try_cast("timestamp")
+    known = zone.rlike("^[A-Za-z0-9_+:/-]+$") & probe.isNotNull()
     shifted = F.when(known, F.from_utc_timestamp(timestamp, zone))
     return epoch_date(F.unix_seconds(shifted))
 

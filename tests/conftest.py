@@ -18,7 +18,7 @@ def spark():
         "tests",
         master="local[8]",
         conf={
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
             # Plans are compared as text: print them whole.
