@@ -4,6 +4,7 @@ from barloom.plans.lake import Lake
 from barloom.plans.medallion import (
     bronze_to_silver,
     changed_months,
+    read_quarantine,
     read_silver,
     refresh_gold,
     silver_to_gold,
@@ -14,6 +15,7 @@ __all__ = [
     "Lake",
     "bronze_to_silver",
     "changed_months",
+    "read_quarantine",
     "read_silver",
     "refresh_gold",
     "silver_to_gold",

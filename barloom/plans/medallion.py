@@ -63,6 +63,13 @@ def write_silver_batch(bars: DataFrame, lake: Lake, batch: int) -> None:
     )
 
 
+def write_quarantine_batch(
+    documents: DataFrame, lake: Lake, batch: int, processed_at: Column | None = None
+) -> None:
+    rows = with_processed_at(quarantined(documents), processed_at)
+    replace_table(rows, batch_folder(lake.quarantine, batch), fmt=lake.fmt)
+
+
 def bronze_to_silver(
     spark: SparkSession, lake: Lake, *, processed_at: Column | None = None
 ) -> bool:
@@ -84,7 +91,7 @@ def bronze_to_silver(
     good = documents.where(~F.col("reason").isin(*REJECTED))
     write_silver_batch(newest_copy(silver_bars(good, processed_at), key=lake.key), lake, 0)
     defective = documents.where(F.col("reason") != "none")
-    replace_table(quarantined(defective), batch_folder(lake.quarantine, 0), fmt=lake.fmt)
+    write_quarantine_batch(defective, lake, 0, processed_at)
     return True
 
 
@@ -98,8 +105,21 @@ def read_silver(spark: SparkSession, lake: Lake) -> DataFrame:
     return _newest(_stored_silver(spark, lake), lake)
 
 
+def read_quarantine(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Defective documents, each as the last run over its file reported it.
+
+    A file is in two batches after a rebuild: its own and batch 0.
+    """
+    stored = read_table(spark, lake.quarantine, fmt=lake.fmt)
+    run = ["processed_at", BATCH]
+    last = stored.groupBy("source_file").agg(F.max(F.struct(*run)).alias("last"))
+    last = last.select("source_file", "last.*")
+    return stored.join(last, ["source_file", *run], "left_semi").drop(BATCH)
+
+
 def _newest(stored: DataFrame, lake: Lake) -> DataFrame:
-    recency = ("ingested_at", BATCH, "source_file")
+    """Of two readings of one file the later one counts, so a rebuild wins."""
+    recency = ("ingested_at", "processed_at", BATCH, "source_file")
     return newest_copy(stored, key=lake.key, recency=recency).drop(BATCH)
 
 

@@ -21,6 +21,7 @@ from barloom.operators.pack import pack_documents
 from barloom.plans.lake import Lake
 from barloom.plans.medallion import (
     bronze_to_silver,
+    read_quarantine,
     read_silver,
     silver_to_gold,
     update_gold,
@@ -316,7 +317,7 @@ def quarantine(spark, sf_dir):
         F.get_json_object("error", "$.symbol"),
         F.regexp_extract("raw_text", '"symbol":"([^"]*)"', 1),
     )
-    aside = read_table(spark, lake.quarantine).select(named.alias("symbol"), "reason").distinct()
+    aside = read_quarantine(spark, lake).select(named.alias("symbol"), "reason").distinct()
     kept = read_silver(spark, lake).groupBy("symbol").agg(F.count("*").alias("bars"))
     return aside.withColumn("bars", F.lit(0).cast("bigint")).unionByName(
         kept.withColumn("reason", F.lit("none"))

@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.operators.quality import accepted, quarantined
+from barloom.operators.quality import accepted
 from barloom.plans.lake import Lake
-from barloom.plans.medallion import batch_folder, silver_bars, write_silver_batch
+from barloom.plans.medallion import silver_bars, write_quarantine_batch, write_silver_batch
 from barloom.schemas import DOCUMENT_DDL
 from barloom.sources.documents import document_options, with_provenance
-from barloom.sources.tables import replace_table
 
 
 def ingest_new(
@@ -38,9 +37,7 @@ def ingest_new(
         documents.persist(StorageLevel.DISK_ONLY)
         try:
             write_silver_batch(silver_bars(accepted(documents)), lake, batch)
-            replace_table(
-                quarantined(documents), batch_folder(lake.quarantine, batch), fmt=lake.fmt
-            )
+            write_quarantine_batch(documents, lake, batch)
         finally:
             documents.unpersist()
         written.append(batch)

@@ -13,6 +13,7 @@ from barloom.plans import (
     Lake,
     bronze_to_silver,
     changed_months,
+    read_quarantine,
     read_silver,
     refresh_gold,
     silver_to_gold,
@@ -104,6 +105,25 @@ def test_correction_in_a_later_batch_wins(spark, lake):
     assert closes(spark, lake) == [("A", JAN, 2.0)]
 
 
+def test_rebuild_replaces_what_an_earlier_run_parsed(spark, lake, monkeypatch):
+    put(lake, "1.json", document(result("A", times=(JAN,), close=[1.0])), "{bad", "{bad")
+
+    def wrong(documents):
+        return medallion.silver_bars(documents).withColumn("close", F.lit(0.0))
+
+    with monkeypatch.context() as broken:
+        broken.setattr(ingest_module, "silver_bars", wrong)
+        ingest_new(spark, lake)
+    assert closes(spark, lake) == [("A", JAN, 0.0)]
+    bronze_to_silver(spark, lake)
+    assert closes(spark, lake) == [("A", JAN, 1.0)]
+    assert read_table(spark, lake.quarantine).count() == 4
+    found = read_quarantine(spark, lake).collect()
+    assert [r.reason for r in found] == ["malformed"] * 2
+    first_run = read_table(spark, lake.quarantine).where("ingest_batch = 1").first()
+    assert all(r.processed_at > first_run.processed_at for r in found)
+
+
 def test_daily_key_of_a_lake(spark, folder):
     lake = Lake(folder, key=("symbol", "date"))
     put(lake, "1.json", document(result("A", times=(JAN, JAN + 1), close=[1.0, 2.0])))
@@ -118,7 +138,7 @@ def test_failed_batch_replaces_what_it_had_written(spark, lake, monkeypatch):
         raise OSError("lost")
 
     with monkeypatch.context() as broken:
-        broken.setattr(ingest_module, "quarantined", fail)
+        broken.setattr(ingest_module, "write_quarantine_batch", fail)
         with pytest.raises(Exception, match="lost"):
             ingest_new(spark, lake)
     assert Path(lake.silver, "ingest_batch=1").exists()
