@@ -27,6 +27,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def keyed(slim: DataFrame, columns: str) -> str:
+    """A schema of ``slim``'s column ``id``, in its own type, and of ``columns``."""
+    return f"id {slim.schema['id'].dataType.simpleString()}, {columns}"
+
+
 def remainder(column: str, divisor: int):
     """crc32 of a number written as text, modulo ``divisor``."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % divisor

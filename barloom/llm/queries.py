@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from barloom.llm.bpe import bpe_decode, bpe_encode
 from barloom.llm.common import documents
 from barloom.llm.sharding import shard_documents
 
@@ -14,6 +18,27 @@ def query(fn):
     return fn
 
 
+def _ids_digest(ids: str):
+    """Count and SHA-256 of an array of ids."""
+    text = F.concat_ws(",", F.col(ids).cast("array<string>"))
+    return F.struct(
+        F.size(ids).cast("long").alias("n_tokens"), F.sha2(text, 256).alias("ids_sha256")
+    )
+
+
+@query
+def op4_bpe(spark, sf_dir):
+    """Ids of every text by a public rank file, decoded again; as digests."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = bpe_encode(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
+    # Digests of the ids go along with the document's id, so one pass makes both.
+    known = F.struct("doc_id", _ids_digest("ids").alias("ids")).alias("key")
+    decoded = bpe_decode(encoded.select(known, "ids"), path, id_col="key")
+    return decoded.select(
+        "key.doc_id", "key.ids.*", F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 @query
 def op10_sharding(spark, sf_dir):
     """24 shards of near equal size, equal texts together."""
