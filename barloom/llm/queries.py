@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from barloom.llm.bpe import bpe_decode, bpe_encode
 from barloom.llm.common import documents
+from barloom.llm.fertility import quality_rules
 from barloom.llm.sharding import shard_documents
 
 LLM_REGISTRY = {}
@@ -39,6 +40,13 @@ def op4_bpe(spark, sf_dir):
     )
 
 
+@query
+def op9_quality_rules(spark, sf_dir):
+    """Base counts and the verdict of tokeniser fertility for every document."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return quality_rules(documents(spark, sf_dir), path, keep=["doc_id"])
+
+
 @query
 def op10_sharding(spark, sf_dir):
     """24 shards of near equal size, equal texts together."""
