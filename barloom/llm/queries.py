@@ -9,6 +9,7 @@ from barloom.llm.bpe import bpe_decode, bpe_encode
 from barloom.llm.common import documents
 from barloom.llm.fertility import quality_rules
 from barloom.llm.sharding import shard_documents
+from barloom.llm.simple8b import token_files
 
 LLM_REGISTRY = {}
 LLM_ORACLES = {}
@@ -40,6 +41,12 @@ def op4_bpe(spark, sf_dir):
     )
 
 
+@query
+def op7_token_files(spark, sf_dir):
+    """Every text's ids written to binary files in id order, and read back."""
+    return token_files(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), 1)
+
+
 @query
 def op9_quality_rules(spark, sf_dir):
     """Base counts and the verdict of tokeniser fertility for every document."""
