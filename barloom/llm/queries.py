@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from barloom.llm.bpe import bpe_decode, bpe_encode
 from barloom.llm.common import documents
 from barloom.llm.fertility import quality_rules
+from barloom.llm.packing import pack_documents
 from barloom.llm.sharding import shard_documents
 from barloom.llm.simple8b import token_files
 
@@ -47,6 +48,13 @@ def op7_token_files(spark, sf_dir):
     return token_files(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), 1)
 
 
+@query
+def op8_packing(spark, sf_dir):
+    """Every text's pieces in sequences of 4,096 tokens."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return pack_documents(documents(spark, sf_dir), path, 2, with_ids=False)
+
+
 @query
 def op9_quality_rules(spark, sf_dir):
     """Base counts and the verdict of tokeniser fertility for every document."""
