@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from barloom.llm.bpe import bpe_decode, bpe_encode
-from barloom.llm.common import documents
+from barloom.llm.common import documents, remainder
 from barloom.llm.fertility import quality_rules
 from barloom.llm.packing import pack_documents
 from barloom.llm.sharding import shard_documents
 from barloom.llm.simple8b import token_files
+from barloom.llm.toxicity import toxicity
 
 LLM_REGISTRY = {}
 LLM_ORACLES = {}
@@ -29,6 +30,20 @@ def _ids_digest(ids: str):
     )
 
 
+@query
+def op2_toxicity(spark, sf_dir):
+    """Toxicity of every text, learned from labels outside the held-out fifth."""
+    held_out = remainder("doc_id", 5) == 0
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = toxicity(documents(spark, sf_dir), labels, ~held_out)
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op4_bpe(spark, sf_dir):
     """Ids of every text by a public rank file, decoded again; as digests."""
