@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from barloom.llm.bpe import bpe_decode, bpe_encode
 from barloom.llm.common import documents, remainder
 from barloom.llm.fertility import quality_rules
+from barloom.llm.langid import detect_languages
 from barloom.llm.packing import pack_documents
 from barloom.llm.sharding import shard_documents
 from barloom.llm.simple8b import token_files
@@ -57,6 +58,14 @@ def op4_bpe(spark, sf_dir):
     )
 
 
+@query
+def op6_language_id(spark, sf_dir):
+    """The language of every text, learned outside the held-out quarter."""
+    held_out = remainder("doc_id", 4) == 2
+    found = detect_languages(documents(spark, sf_dir), ~held_out, F.struct("doc_id"))
+    return found.select("id.doc_id", "lang_pred", "score").withColumn("held_out", held_out)
+
+
 @query
 def op7_token_files(spark, sf_dir):
     """Every text's ids written to binary files in id order, and read back."""
