@@ -23,7 +23,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: its lineage is cut."""
     path = scratch_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -9,6 +9,7 @@ from barloom.llm.bpe import bpe_decode, bpe_encode
 from barloom.llm.common import documents, remainder
 from barloom.llm.fertility import quality_rules
 from barloom.llm.langid import detect_languages
+from barloom.llm.neardup import near_duplicates
 from barloom.llm.packing import pack_documents
 from barloom.llm.sharding import shard_documents
 from barloom.llm.simple8b import token_files
@@ -45,6 +46,12 @@ def op2_toxicity(spark, sf_dir):
     )
 
 
+@query
+def op3_minhash_near_dedup(spark, sf_dir):
+    """The class of near copies of every document."""
+    return near_duplicates(documents(spark, sf_dir), keep=["doc_id"])
+
+
 @query
 def op4_bpe(spark, sf_dir):
     """Ids of every text by a public rank file, decoded again; as digests."""
