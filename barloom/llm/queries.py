@@ -11,6 +11,7 @@ from barloom.llm.fertility import quality_rules
 from barloom.llm.langid import detect_languages
 from barloom.llm.neardup import near_duplicates
 from barloom.llm.packing import pack_documents
+from barloom.llm.ppm import score_documents
 from barloom.llm.sharding import shard_documents
 from barloom.llm.simple8b import token_files
 from barloom.llm.toxicity import toxicity
@@ -65,6 +66,13 @@ def op4_bpe(spark, sf_dir):
     )
 
 
+@query
+def op5_ppm_scores(spark, sf_dir):
+    """Scores of every text, learned outside the held-out seventh."""
+    held_out = remainder("doc_id", 7) == 2
+    return score_documents(documents(spark, sf_dir), ~held_out).withColumn("held_out", held_out)
+
+
 @query
 def op6_language_id(spark, sf_dir):
     """The language of every text, learned outside the held-out quarter."""
