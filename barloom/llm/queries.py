@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from barloom.llm.bpe import bpe_decode, bpe_encode
 from barloom.llm.common import documents, remainder
+from barloom.llm.embdedup import near_duplicate_vectors
 from barloom.llm.fertility import quality_rules
 from barloom.llm.langid import detect_languages
 from barloom.llm.neardup import near_duplicates
@@ -33,6 +34,12 @@ def _ids_digest(ids: str):
     )
 
 
+@query
+def op1_embedding_near_dedup(spark, sf_dir):
+    """Links and components of all vectors within their label."""
+    return near_duplicate_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 @query
 def op2_toxicity(spark, sf_dir):
     """Toxicity of every text, learned from labels outside the held-out fifth."""
