@@ -23,6 +23,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     common = argparse.ArgumentParser(add_help=False)
     common.add_argument("--root", required=True, help="folder of the layers")
     common.add_argument("--fmt", default="parquet", help="table format")
+    common.add_argument("--multi-line", action="store_true", help="pretty-printed documents")
     common.add_argument("--scale", type=int, help="decimals of exact price sums")
     common.add_argument("--key", default="symbol,datetime", help="what identifies a bar")
     common.add_argument("--conf", action="append", default=[], metavar="NAME=VALUE")
@@ -42,7 +43,12 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
 def main(argv: list[str] | None = None) -> None:
     options = parse(argv)
     spark = build_session(f"barloom-{options.job}", conf=_pairs(options.conf))
-    lake = Lake(options.root, fmt=options.fmt, key=tuple(options.key.split(",")))
+    lake = Lake(
+        options.root,
+        fmt=options.fmt,
+        key=tuple(options.key.split(",")),
+        multi_line=options.multi_line,
+    )
     if options.job == "ingest":
         ingest_new(spark, lake)
         if options.then_gold:

@@ -21,6 +21,8 @@ SPLIT = 1_000_000
 # Up to here millions * SPLIT + rest is a bigint.
 MAX_MILLIONS = 4 * 10**12
 MAX_REST = 4 * 10**18
+# How far from a whole number of units a value may be.
+UNIT_NOISE = 0.01
 
 
 @dataclass(frozen=True)
@@ -41,7 +43,7 @@ class ExactSum:
         value = F.col(self.name)
         if self.scale is None:
             return [F.sum(value.cast("double")).alias(self.columns[0])]
-        units = value if self.scale == 0 else F.rint(value * 10.0**self.scale)
+        units = value if self.scale == 0 else self._whole(value * 10.0**self.scale)
         units = units.cast("bigint")
         split = F.lit(SPLIT).cast("bigint")
         millions, rest = self.columns
@@ -50,6 +52,18 @@ class ExactSum:
             F.sum(units % split).alias(rest),
         ]
 
+    def _whole(self, units: Column) -> Column:
+        """Units without the noise of binary fractions; more decimals are refused."""
+        nearest = F.rint(units)
+        message = F.concat(
+            F.lit(f"{self.name} is not a finite number of {self.scale} decimals: "),
+            F.col(self.name).cast("string"),
+        )
+        fits = F.abs(units - nearest) <= UNIT_NOISE
+        return F.when(fits | units.isNull(), nearest).otherwise(
+            F.raise_error(message).cast("double")
+        )
+
     def merge(self) -> list[Column]:
         """Aggregates over rows that already hold partial sums."""
         return [F.sum(name).alias(name) for name in self.columns]

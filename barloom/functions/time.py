@@ -52,16 +52,19 @@ def epoch_text(epoch: Column) -> Column:
     return F.from_unixtime(epoch)
 
 
-def local_date(timestamp: Column, zone: Column) -> Column:
-    """The date at the exchange; NULL for a zone name that does not exist.
+def known_zone(zone: Column) -> Column:
+    """The zone name, or NULL if there is no such zone.
 
-    ``from_utc_timestamp`` fails the whole job on an unknown zone, so each name
-    is first tried in a cast that gives NULL instead.
+    ``from_utc_timestamp`` fails the whole job on an unknown zone, so a name is first
+    tried in a cast that gives NULL instead.
     """
     probe = F.concat(F.lit("1970-01-01 00:00:00 "), zone).try_cast("timestamp")
-    known = zone.rlike("^[A-Za-z0-9_+:/-]+$") & probe.isNotNull()
-    shifted = F.when(known, F.from_utc_timestamp(timestamp, zone))
-    return epoch_date(F.unix_seconds(shifted))
+    return F.when(zone.rlike("^[A-Za-z0-9_+:/-]+$") & probe.isNotNull(), zone)
+
+
+def local_date(timestamp: Column, zone: Column) -> Column:
+    """The date at the exchange, in a zone from ``known_zone``; NULL without one."""
+    return epoch_date(F.unix_seconds(F.from_utc_timestamp(timestamp, zone)))
 
 
 def month_of(date: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 from functools import reduce
 from operator import or_
 
@@ -13,6 +14,7 @@ from barloom.functions.time import (
     calendar_bucket,
     epoch_date,
     epoch_timestamp,
+    known_zone,
     local_date,
     month_of,
 )
@@ -32,13 +34,15 @@ def explode_bars(documents: DataFrame) -> DataFrame:
 
     A single generator over the timestamps drives the rows. Values are looked
     up by position, so a short or absent array gives NULL and never removes or
-    multiplies a bar. There is no shuffle: each document is unnested where it
-    was read.
+    multiplies a bar; so does a price that is not a finite number. There is no
+    shuffle: each document is unnested where it was read. Its time zone is checked
+    once, before that: ``local_zone`` is NULL for a name that does not exist.
     """
     quote = F.get("r.indicators.quote", F.lit(0))
     adjusted = F.get("r.indicators.adjclose", F.lit(0))
     series = _results(documents).select(
         F.col("r.meta").alias("meta"),
+        known_zone(F.col("r.meta.exchangeTimezoneName")).alias("local_zone"),
         F.posexplode("r.timestamp").alias("position", "epoch"),
         *(quote[name].alias(name) for name in (*PRICE_COLUMNS, "volume")),
         adjusted["adjclose"].alias("adjclose"),
@@ -49,15 +53,22 @@ def explode_bars(documents: DataFrame) -> DataFrame:
         F.col("meta.symbol").alias("symbol"),
         epoch_timestamp(F.col("epoch")).alias("datetime"),
         epoch_date(F.col("epoch")).alias("date"),
-        *(F.get(name, F.col("position")).alias(name) for name in VALUE_COLUMNS),
+        *(_value(name).alias(name) for name in VALUE_COLUMNS),
         F.col("meta.currency").alias("currency"),
         F.col("meta.exchangeName").alias("exchange"),
         F.col("meta.exchangeTimezoneName").alias("exchange_timezone"),
         "source_file",
         "ingested_at",
+        "local_zone",
     )
 
 
+def _value(name: str) -> Column:
+    value = F.get(name, F.col("position"))
+    # NaN is above infinity.
+    return value if name == "volume" else F.when(F.abs(value) < F.lit(float("inf")), value)
+
+
 def explode_metadata(documents: DataFrame) -> DataFrame:
     """One row per timestamp with all of the document's metadata."""
     rows = _results(documents).select(
@@ -72,10 +83,15 @@ def explode_metadata(documents: DataFrame) -> DataFrame:
 
 
 def with_local_date(bars: DataFrame) -> DataFrame:
-    """Add the trading date at the exchange; ``date`` itself is the UTC date."""
-    return bars.withColumn(
-        "local_date", local_date(F.col("datetime"), F.col("exchange_timezone"))
-    )
+    """Add the trading date at the exchange; ``date`` itself is the UTC date.
+
+    A zone that was checked with its document is taken as it is.
+    """
+    if "local_zone" in bars.columns:
+        zone = F.col("local_zone")
+    else:
+        zone = known_zone(F.col("exchange_timezone"))
+    return bars.withColumn("local_date", local_date(F.col("datetime"), zone)).drop("local_zone")
 
 
 def with_month(bars: DataFrame) -> DataFrame:
@@ -101,6 +117,7 @@ def newest_copy(
     *,
     key: Sequence[str] = ("symbol", "datetime"),
     recency: Sequence[str] = ("ingested_at", "source_file"),
+    implied: Sequence[str] = (),
 ) -> DataFrame:
     """Keep the newest row of each key; use (symbol, date) for daily bars.
 
@@ -109,12 +126,16 @@ def newest_copy(
     recency is decided by the remaining columns, which makes the result the
     same on every run. Rows without a complete key cannot be told to be copies
     of each other, so only rows equal in every column are merged there.
+
+    ``implied`` names columns that follow from the key, such as the month of a time:
+    they change no group, and let filters on them pass below the ranking.
     """
     incomplete = reduce(or_, (F.col(name).isNull() for name in key))
     whole_row = F.when(incomplete, F.to_json(F.struct(*bars.columns), _FULL_TIME))
-    rest = [name for name in bars.columns if name not in (*key, *recency)]
+    rest = [name for name in bars.columns if name not in (*key, *recency, *implied)]
     order = [F.col(name).desc_nulls_last() for name in (*recency, *rest)]
-    window = Window.partitionBy(*key, whole_row).orderBy(*order)
+    also = [name for name in implied if name not in key]
+    window = Window.partitionBy(*key, *also, whole_row).orderBy(*order)
     return (
         bars.withColumn("_rank", F.row_number().over(window))
         .where(F.col("_rank") == 1)
@@ -122,6 +143,20 @@ def newest_copy(
     )
 
 
+# Above the distance of any two 64-bit numbers.
+_TIE_SPAN = Decimal(2 * 10**19)
+
+
+def _ordering(ticks: DataFrame, time: str, tie_breaker: str) -> Column:
+    """A value that orders rows by time, then by the tie-breaker."""
+    if ticks.schema[tie_breaker].dataType.typeName() not in ("long", "integer", "short", "byte"):
+        return F.struct(time, tie_breaker)
+    micros = F.unix_micros(F.col(time).cast("timestamp")).cast("decimal(18,0)")
+    # A row without a tie-breaker comes before all others of its time.
+    tie = F.coalesce(F.col(tie_breaker).cast("decimal(20,0)"), F.lit(Decimal(-(2**63) - 1)))
+    return (micros * F.lit(_TIE_SPAN) + tie).cast("decimal(38,0)")
+
+
 def resample(
     ticks: DataFrame,
     interval: str,
@@ -137,9 +172,11 @@ def resample(
     Open and close are the values at the first and last time, found inside the
     aggregation, so each task sends one row per bar and a busy symbol needs no
     sort of its ticks in one place. When two ticks of a symbol can share a time,
-    name a ``tie_breaker`` column: without it either of them may be taken.
+    name a ``tie_breaker`` column: without it either of them may be taken. A whole
+    number is put behind the time in one fixed-width value, which keeps the hash
+    aggregation; any other type is compared in a struct, by sorting.
     """
-    at = F.col(time) if tie_breaker is None else F.struct(time, tie_breaker)
+    at = F.col(time) if tie_breaker is None else _ordering(ticks, time, tie_breaker)
     aggregates = [
         F.min_by(price, at).alias("open"),
         F.max(price).alias("high"),

@@ -35,14 +35,22 @@ def symbol_series(df: DataFrame, symbol: str, *, order_by: str = "date") -> Data
     return for_symbol(df, symbol).orderBy(order_by)
 
 
-def trailing(df: DataFrame, code: str, *, time: str = "datetime") -> DataFrame:
+def trailing(
+    df: DataFrame, code: str, *, time: str = "datetime", newest: Column | None = None
+) -> DataFrame:
     """The last ``code`` ("5d", "1mo", "1y") of the data, counted from its newest row.
 
-    The newest time is a scalar subquery, not a join: it reads one column, and
-    its result is pushed into the scan of the filtered read.
+    Unless given, the newest time is a scalar subquery, not a join: it reads one column,
+    and its result is pushed into the scan of the filtered read. A table with a
+    ``month`` partition reads only the months from the start of the range on.
     """
-    newest = df.select(F.max(time)).scalar()
-    return df.where(F.col(time) >= newest - trailing_interval(code))
+    if newest is None:
+        newest = df.select(F.max(time)).scalar()
+    start = newest - trailing_interval(code)
+    condition = F.col(time) >= start
+    if "month" in df.columns:
+        condition = condition & (F.col("month") >= F.trunc(start.cast("date"), "MM"))
+    return df.where(condition)
 
 
 def row_count(df: DataFrame) -> DataFrame:

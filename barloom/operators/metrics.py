@@ -64,6 +64,26 @@ def merge_rollups(rollups: DataFrame, by: Sequence[str], *, scale: int | None =
     )
 
 
+def merge_both(rollups: DataFrame, *, scale: int | None = None) -> DataFrame:
+    """The daily rollup merged per symbol and per date, in one pass over it.
+
+    ``level`` says which of the two a row is.
+    """
+    counts = ("n_open", "n_close", "n_volume", "n_symbol", "data_points")
+    # Copies of the group columns: a grouping set nulls the ones it leaves out.
+    keyed = rollups.withColumns({"_symbol": F.col("symbol")})
+    return keyed.groupingSets([["symbol"], ["date"]], "symbol", "date").agg(
+        F.when(F.grouping("symbol") == 0, "symbol").otherwise("date").alias("level"),
+        *ExactSum("open", scale).merge(),
+        *ExactSum("close", scale).merge(),
+        *VOLUME.merge(),
+        *(F.sum(name).alias(name) for name in counts),
+        F.max("max_high").alias("max_high"),
+        F.min("min_low").alias("min_low"),
+        F.count("_symbol").alias("distinct_symbols"),
+    )
+
+
 def finish_daily(rollups: DataFrame, *, scale: int | None = None) -> DataFrame:
     """Daily table from the daily rollup; no shuffle."""
     return rollups.select(
@@ -132,11 +152,18 @@ def market_metrics(
     return finish_market(per_date, scale=scale)
 
 
-def mean_of_daily_close(daily: DataFrame, *, scale: int | None = None) -> DataFrame:
-    """Per symbol, the unweighted mean of the daily means in the daily table."""
-    total = ExactSum("avg_close", scale)
-    sums = daily.groupBy("symbol").agg(*total.partial(), F.count("avg_close").alias("days"))
-    return sums.select("symbol", total.mean(F.col("days")).alias("avg_close"))
+def mean_of_daily_close(daily: DataFrame, *, exact: bool = False) -> DataFrame:
+    """Per symbol, the unweighted mean of the daily means in the daily table.
+
+    ``exact`` sums the means as decimals with 15 places, so that the result does not
+    depend on the order of the rows; otherwise they are averaged as doubles.
+    """
+    if not exact:
+        return daily.groupBy("symbol").agg(F.avg("avg_close").alias("avg_close"))
+    total = F.sum(F.col("avg_close").cast("decimal(38,15)")).cast("double")
+    return daily.groupBy("symbol").agg(
+        F.try_divide(total, F.count("avg_close")).alias("avg_close")
+    )
 
 
 def weighted_close(rollups: DataFrame, *, scale: int | None = None) -> DataFrame:

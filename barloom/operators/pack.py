@@ -11,9 +11,7 @@ from pyspark.sql import functions as F
 
 from barloom.schemas import META_COLUMNS, META_DDL, PRICE_COLUMNS, VALUE_COLUMNS
 
-# Largest list of hot groups that is sent to every executor.
-HOT_LIST_ROWS = 10_000
-# Input partition number given to rows of groups that are not split.
+# Part number given to rows of groups that are not split.
 WHOLE = -1
 
 
@@ -24,23 +22,29 @@ def _null_safe(left: str, right: str, keys: Sequence[str]) -> Column:
 def _with_part(bars: DataFrame, keys: Sequence[str], max_bars: int) -> DataFrame:
     """Number the parts of groups that are too large for one document.
 
-    One counting pass reads only the key columns. Rows of a large group are
-    kept apart by the input partition they come from, so what is collected is
-    never more than ``max_bars`` rows or one input partition's share of a group,
-    however large the group is and however many equal rows it has. The
-    partition number is the same when a lost task runs again.
+    Rows of such a group are kept apart by their input partition and by their place in
+    it, counted in steps of ``max_bars``, so a part never has more rows than that,
+    however the rows lie. Places are taken after a local sort by all columns: a task
+    that runs again gives equal rows equal places. Large groups are marked by a join,
+    whose strategy is left to the planner.
     """
     hot = bars.groupBy(*keys).agg(F.count("*").alias("bars")).where(F.col("bars") > max_bars)
-    sample = hot.limit(HOT_LIST_ROWS + 1).select(*keys).collect()
-    if not sample:
-        return bars.withColumn("_part", F.lit(WHOLE))
-    if len(sample) <= HOT_LIST_ROWS:
-        schema = bars.select(*keys).schema
-        hot = F.broadcast(bars.sparkSession.createDataFrame(sample, schema))
     marks = hot.select(*keys, F.lit(True).alias("_hot")).alias("h")
-    rows = bars.withColumn("_source", F.spark_partition_id()).alias("b")
-    return rows.join(marks, _null_safe("b", "h", keys), "left").select(
-        "b.*", F.when(F.col("h._hot"), F.col("b._source")).otherwise(WHOLE).alias("_part")
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    placed = bars.sortWithinPartitions(*bars.columns).select(
+        "*",
+        F.spark_partition_id().alias("_source"),
+        F.call_function("div", place, F.lit(max_bars)).alias("_step"),
+    )
+    split = F.struct(F.col("b._source").alias("source"), F.col("b._step").alias("step"))
+    whole = F.struct(F.lit(WHOLE).alias("source"), F.lit(WHOLE).cast("bigint").alias("step"))
+    return (
+        placed.alias("b")
+        .join(marks, _null_safe("b", "h", keys), "left")
+        .select(
+            *(F.col(f"b.{name}").alias(name) for name in bars.columns),
+            F.when(F.col("h._hot"), split).otherwise(whole).alias("_part"),
+        )
     )
 
 

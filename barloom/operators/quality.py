@@ -4,8 +4,9 @@
 ``error``      the document carries an error instead of data
 ``timestamp``  a timestamp lies outside the years 1 to 9999
 ``length``     a value array is shorter or longer than the timestamps
+``value``      a price is not a finite number
 
-The first two give no bars. The last two are reports: their bars stay in
+The first two give no bars. The others are reports: their bars stay in
 silver, with NULL where a value or a valid time is missing.
 """
 
@@ -21,7 +22,7 @@ from barloom.functions.time import MAX_EPOCH, MIN_EPOCH
 from barloom.schemas import PRICE_COLUMNS, RAW_TEXT
 
 REJECTED = ("malformed", "error")
-REPORTED = ("timestamp", "length")
+REPORTED = ("timestamp", "length", "value")
 
 
 def is_accepted() -> Column:
@@ -47,6 +48,15 @@ def _bad_lengths(result: Column) -> Column:
     return reduce(or_, (F.coalesce(F.size(a) != expected, F.lit(False)) for a in arrays))
 
 
+def _bad_values(result: Column) -> Column:
+    quote = F.get(result["indicators"]["quote"], F.lit(0))
+    adjusted = F.get(result["indicators"]["adjclose"], F.lit(0))
+    arrays = [quote[name] for name in PRICE_COLUMNS] + [adjusted["adjclose"]]
+    # No number is above infinity but NaN, and NULLs are no defect.
+    wrong = (F.exists(a, lambda v: F.abs(v) >= F.lit(float("inf"))) for a in arrays)
+    return reduce(or_, (F.coalesce(w, F.lit(False)) for w in wrong))
+
+
 def with_reason(documents: DataFrame) -> DataFrame:
     """Add ``reason``: the first defect of the document, NULL for a good one."""
     results = F.col("chart.result")
@@ -55,7 +65,8 @@ def with_reason(documents: DataFrame) -> DataFrame:
         F.when(F.col(RAW_TEXT).isNotNull(), "malformed")
         .when(F.col("chart.error").isNotNull(), "error")
         .when(F.exists(results, _bad_timestamps), "timestamp")
-        .when(F.exists(results, _bad_lengths), "length"),
+        .when(F.exists(results, _bad_lengths), "length")
+        .when(F.exists(results, _bad_values), "value"),
     )
 
 

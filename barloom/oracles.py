@@ -72,12 +72,10 @@ ORACLES: dict[str, str] = {
     "daily_metrics": f"WITH {BARS}, {_daily('bars')} SELECT * FROM daily",
     "symbol_metrics": f"WITH {BARS}, {_symbol('bars')} SELECT * FROM per_symbol",
     "market_metrics": f"WITH {BARS}, {_market('bars')} SELECT * FROM market",
-    # Daily means are counted in millionths, halves to even, before summing.
     "mean_of_daily_close": f"""
 WITH {BARS}, {_daily('bars')}
 SELECT symbol,
-       CAST(sum(CAST(round_even(avg_close * 1e6, 0) AS bigint)) AS double) / 1e6
-       / count(avg_close) AS avg_close
+       CAST(sum(CAST(avg_close AS decimal(38, 15))) AS double) / count(avg_close) AS avg_close
 FROM daily GROUP BY symbol""",
     "weighted_close": f"""
 WITH {BARS}

@@ -4,8 +4,10 @@ from barloom.plans.lake import Lake
 from barloom.plans.medallion import (
     bronze_to_silver,
     changed_months,
+    compact_silver,
     read_quarantine,
     read_silver,
+    read_trailing,
     refresh_gold,
     silver_to_gold,
     update_gold,
@@ -15,8 +17,10 @@ __all__ = [
     "Lake",
     "bronze_to_silver",
     "changed_months",
+    "compact_silver",
     "read_quarantine",
     "read_silver",
+    "read_trailing",
     "refresh_gold",
     "silver_to_gold",
     "update_gold",

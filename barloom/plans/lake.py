@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from barloom.sources.tables import FILE_FORMATS
+
 
 @dataclass(frozen=True)
 class Lake:
-    """Folders below one root, local or on any file system Spark can reach."""
+    """Folders below one root, local or on any file system Spark can reach.
+
+    Silver and quarantine are laid out as folders, ``generation=G/ingest_batch=N``, of
+    which a job replaces its own. That needs a file format: table formats with a log of
+    their own are refused.
+    """
 
     root: str
     fmt: str = "parquet"
@@ -15,6 +22,12 @@ class Lake:
     # What makes two bars copies of each other. Runs that fetch the same day
     # at different seconds need ("symbol", "date").
     key: tuple[str, ...] = ("symbol", "datetime")
+    # Pretty-printed documents: one document over all lines of a file.
+    multi_line: bool = False
+
+    def __post_init__(self) -> None:
+        if self.fmt not in FILE_FORMATS:
+            raise ValueError(f"format {self.fmt!r} cannot hold this layout: use one of {FILE_FORMATS}")
 
     def _below(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -26,7 +39,7 @@ class Lake:
 
     @property
     def documents(self) -> str:
-        """Parsed documents, one folder per batch run and reason."""
+        """Parsed documents of the batch that is being written, a folder per reason."""
         return self._below("documents")
 
     @property
@@ -45,6 +58,21 @@ class Lake:
         return f"{self.gold}/{name}"
 
     @property
-    def checkpoint(self) -> str:
-        """Progress of the incremental ingest."""
-        return self._below("checkpoint")
+    def pending(self) -> str:
+        """Files found but not yet ingested by the run in progress."""
+        return self._below("pending")
+
+    @property
+    def files(self) -> str:
+        """The files that each finished batch covers."""
+        return self._below("files")
+
+    @property
+    def runs(self) -> str:
+        """Finished batches: their months and numbers of bars."""
+        return self._below("runs")
+
+    @property
+    def generations(self) -> str:
+        """Finished rebuilds of silver; the last one is read."""
+        return self._below("generations")

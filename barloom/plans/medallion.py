@@ -1,9 +1,14 @@
 """The batch jobs: documents to silver, silver to gold.
 
-Silver is a folder per ingest batch, each partitioned by month. Batch 0 is
-written by ``bronze_to_silver``, later numbers by ``streaming.ingest_new``. A
-batch that runs again replaces its own folder, and reading silver keeps the
-newest copy of each bar, so no run can count a bar twice.
+Silver is written in *generations*. A rebuild from all documents writes a new one, as
+batch 0, and readers switch to it when its record, written last, is there: what was
+deleted or repaired in bronze is then gone from silver and quarantine too. Batches that
+``streaming.ingest_new`` adds belong to the generation that is current. A batch that
+runs again replaces its own folder, and reading silver keeps the newest copy of each
+bar, so no run can count a bar twice.
+
+Finished batches are recorded in small tables: the files they cover, and the months
+they have bars in. What is new is found there, not by reading silver.
 """
 
 from __future__ import annotations
@@ -11,7 +16,6 @@ from __future__ import annotations
 import datetime
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,25 +26,39 @@ from barloom.operators.bars import (
     with_month,
     with_processed_at,
 )
+from barloom.operators.filters import trailing
 from barloom.operators.metrics import (
     daily_rollup,
     finish_daily,
     finish_market,
     finish_symbol,
-    merge_rollups,
+    merge_both,
 )
 from barloom.operators.quality import REJECTED, quarantined, with_reason
 from barloom.plans.lake import Lake
-from barloom.schemas import SILVER_DDL
-from barloom.sources.documents import read_documents
-from barloom.sources.tables import append_table, read_table, replace_partitions, replace_table
+from barloom.schemas import QUARANTINE_DDL, SILVER_DDL
+from barloom.sources.documents import list_documents, read_documents
+from barloom.sources.tables import (
+    append_table,
+    read_if_written,
+    read_table,
+    remove_folder,
+    replace_partitions,
+    replace_table,
+)
 
+GENERATION = "generation"
 BATCH = "ingest_batch"
 ROLLUP = "daily_rollup"
-# Which ingest batch gold is up to date with; appended to after each refresh.
+# Which generation and batch gold is up to date with; replaced after each refresh.
 PROGRESS = "progress"
-PROGRESS_DDL = "ingest_batch int"
+PROGRESS_DDL = "generation int, ingest_batch int"
+GENERATIONS_DDL = "generation int"
+FILES_DDL = "path string, ingest_batch int, generation int"
+RUNS_DDL = "month date, bars bigint, ingest_batch int, generation int"
 SILVER_ORDER = ("symbol", "datetime")
+# Months that a refresh names one by one; if more changed, gold is rebuilt.
+MAX_MONTHS = 1_200
 
 
 def silver_bars(documents: DataFrame, processed_at: Column | None = None) -> DataFrame:
@@ -49,14 +67,30 @@ def silver_bars(documents: DataFrame, processed_at: Column | None = None) -> Dat
     return with_processed_at(bars, processed_at)
 
 
-def batch_folder(path: str, batch: int) -> str:
-    return f"{path}/{BATCH}={batch}"
+def generation_folder(path: str, generation: int) -> str:
+    return f"{path}/{GENERATION}={generation}"
+
+
+def batch_folder(path: str, generation: int, batch: int) -> str:
+    return f"{generation_folder(path, generation)}/{BATCH}={batch}"
+
+
+def current_generation(spark: SparkSession, lake: Lake) -> int | None:
+    """The last generation that was finished; None if there is none."""
+    known = read_if_written(spark, lake.generations, fmt=lake.fmt, schema=GENERATIONS_DDL)
+    return None if known is None else known.agg(F.max(GENERATION)).first()[0]
 
 
-def write_silver_batch(bars: DataFrame, lake: Lake, batch: int) -> None:
+def open_generation(spark: SparkSession, lake: Lake, generation: int) -> None:
+    """Let readers switch to a generation; one appended row, the last act of a rebuild."""
+    row = spark.createDataFrame([(generation,)], GENERATIONS_DDL)
+    append_table(row.coalesce(1), lake.generations, fmt=lake.fmt)
+
+
+def write_silver_batch(bars: DataFrame, lake: Lake, generation: int, batch: int) -> None:
     replace_table(
         bars,
-        batch_folder(lake.silver, batch),
+        batch_folder(lake.silver, generation, batch),
         fmt=lake.fmt,
         partition_by=("month",),
         sort_by=SILVER_ORDER,
@@ -64,63 +98,185 @@ def write_silver_batch(bars: DataFrame, lake: Lake, batch: int) -> None:
 
 
 def write_quarantine_batch(
-    documents: DataFrame, lake: Lake, batch: int, processed_at: Column | None = None
+    documents: DataFrame,
+    lake: Lake,
+    generation: int,
+    batch: int,
+    processed_at: Column | None = None,
 ) -> None:
     rows = with_processed_at(quarantined(documents), processed_at)
-    replace_table(rows, batch_folder(lake.quarantine, batch), fmt=lake.fmt)
+    replace_table(rows, batch_folder(lake.quarantine, generation, batch), fmt=lake.fmt)
 
 
-def bronze_to_silver(
-    spark: SparkSession, lake: Lake, *, processed_at: Column | None = None
-) -> bool:
-    """Rebuild silver from all documents. Returns False if there are none.
+def record_run(
+    spark: SparkSession, lake: Lake, generation: int, batch: int, files: DataFrame | None
+) -> None:
+    """Record a finished batch: its months, then the files it covers.
+
+    A month's bars are counted in the batch's own folder. The batch itself has a row
+    without bars, so that one without any is known too.
+    """
+    bars = read_table(
+        spark, batch_folder(lake.silver, generation, batch), fmt=lake.fmt, schema=SILVER_DDL
+    )
+    months = bars.groupBy("month").agg(F.count(F.lit(1)).alias("bars"))
+    marker = spark.createDataFrame([(None, 0)], "month date, bars bigint")
+    rows = months.unionByName(marker).coalesce(1)
+    replace_table(rows, batch_folder(lake.runs, generation, batch), fmt=lake.fmt)
+    if files is not None:
+        replace_table(
+            files.select("path"), batch_folder(lake.files, generation, batch), fmt=lake.fmt
+        )
+
+
+def read_runs(spark: SparkSession, lake: Lake, generation: int) -> DataFrame:
+    """``month``, ``bars`` and ``ingest_batch`` of the finished batches of a generation."""
+    runs = read_table(spark, lake.runs, fmt=lake.fmt, schema=RUNS_DDL)
+    return runs.where(F.col(GENERATION) == generation).drop(GENERATION)
+
+
+def newest_batch(spark: SparkSession, lake: Lake, generation: int) -> int | None:
+    known = read_if_written(spark, lake.runs, fmt=lake.fmt, schema=RUNS_DDL)
+    if known is None:
+        return None
+    return known.where(F.col(GENERATION) == generation).agg(F.max(BATCH)).first()[0]
+
+
+def write_batch(
+    spark: SparkSession,
+    raw: DataFrame,
+    files: DataFrame,
+    lake: Lake,
+    generation: int,
+    batch: int,
+    *,
+    processed_at: Column | None = None,
+    merge_copies: bool = False,
+) -> None:
+    """Documents to one batch of silver and quarantine, and its record.
 
     The JSON is parsed once, into a columnar table partitioned by defect; bars
     and quarantine are both read from that table, each only the folders and
     columns it needs. A lost executor costs its tasks, not the parsing.
     """
-    raw = read_documents(spark, lake.bronze, glob=lake.glob)
-    if raw.isEmpty():
-        return False
     tagged = with_reason(raw).withColumn("reason", F.coalesce("reason", F.lit("none")))
     replace_table(
         tagged, lake.documents, fmt=lake.fmt, partition_by=("reason",), rebalance=False
     )
-    documents = read_table(spark, lake.documents, fmt=lake.fmt)
-
+    documents = read_table(spark, lake.documents, fmt=lake.fmt, schema=tagged.schema)
     good = documents.where(~F.col("reason").isin(*REJECTED))
-    write_silver_batch(newest_copy(silver_bars(good, processed_at), key=lake.key), lake, 0)
+    bars = silver_bars(good, processed_at)
+    if merge_copies:
+        bars = newest_copy(bars, key=lake.key)
+    write_silver_batch(bars, lake, generation, batch)
     defective = documents.where(F.col("reason") != "none")
-    write_quarantine_batch(defective, lake, 0, processed_at)
+    write_quarantine_batch(defective, lake, generation, batch, processed_at)
+    record_run(spark, lake, generation, batch, files)
+
+
+def bronze_to_silver(
+    spark: SparkSession, lake: Lake, *, processed_at: Column | None = None
+) -> bool:
+    """Rebuild silver from all documents. Returns False if there are none.
+
+    The rebuild is a new generation, which nobody reads before it is complete. The one
+    before it is then removed, so bars are stored once.
+    """
+    raw = read_documents(spark, lake.bronze, glob=lake.glob, multi_line=lake.multi_line)
+    if raw.isEmpty():
+        return False
+    before = current_generation(spark, lake)
+    generation = 0 if before is None else before + 1
+    # Files are listed before they are read: one that lands meanwhile is ingested later.
+    replace_table(
+        list_documents(spark, lake.bronze, glob=lake.glob).select("path"), lake.pending, fmt=lake.fmt
+    )
+    files = read_table(spark, lake.pending, fmt=lake.fmt, schema="path string")
+    write_batch(
+        spark, raw, files, lake, generation, 0, processed_at=processed_at, merge_copies=True
+    )
+    open_generation(spark, lake, generation)
+    if before is not None:
+        for path in (lake.silver, lake.quarantine, lake.runs, lake.files):
+            remove_folder(spark, generation_folder(path, before))
     return True
 
 
-def _stored_silver(spark: SparkSession, lake: Lake) -> DataFrame:
-    """Silver as stored, with every copy of a bar."""
-    return read_table(spark, lake.silver, fmt=lake.fmt, schema=SILVER_DDL)
+def _stored_silver(spark: SparkSession, lake: Lake) -> DataFrame | None:
+    """Silver of the current generation as stored, with every copy of a bar."""
+    generation = current_generation(spark, lake)
+    if generation is None:
+        return None
+    path = generation_folder(lake.silver, generation)
+    return read_if_written(spark, path, fmt=lake.fmt, schema=SILVER_DDL)
 
 
 def read_silver(spark: SparkSession, lake: Lake) -> DataFrame:
-    """Silver with the newest copy of each bar."""
-    return _newest(_stored_silver(spark, lake), lake)
+    """Silver with the newest copy of each bar; empty if it was never written.
+
+    Filters on ``symbol``, ``date`` and ``month`` reach the scan.
+    """
+    stored = _stored_silver(spark, lake)
+    if stored is None:
+        return spark.createDataFrame([], SILVER_DDL).drop(BATCH)
+    return _newest(stored, lake)
 
 
-def read_quarantine(spark: SparkSession, lake: Lake) -> DataFrame:
-    """Defective documents, each as the last run over its file reported it.
+def read_trailing(spark: SparkSession, lake: Lake, code: str) -> DataFrame:
+    """The last ``code`` ("5d", "1mo") of silver, counted from its newest bar.
+
+    The newest time is taken from the stored rows of the newest month with bars, which
+    the records of the batches name: all copies of a bar have the same time.
+    """
+    stored = _stored_silver(spark, lake)
+    if stored is None:
+        return read_silver(spark, lake)
+    runs = read_runs(spark, lake, current_generation(spark, lake))
+    last = runs.where("bars > 0").agg(F.max("month")).first()[0]
+    newest = stored.where(F.col("month") == F.lit(last)).agg(F.max("datetime")).first()[0]
+    return trailing(_newest(stored, lake), code, newest=F.lit(newest))
 
-    A file is in two batches after a rebuild: its own and batch 0.
+
+def read_quarantine(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Defective documents of the current generation, each as its last batch reported it."""
+    generation = current_generation(spark, lake)
+    if generation is None:
+        return spark.createDataFrame([], QUARANTINE_DDL).drop(BATCH)
+    path = generation_folder(lake.quarantine, generation)
+    stored = read_table(spark, path, fmt=lake.fmt, schema=QUARANTINE_DDL)
+    # A file that landed while a rebuild read it is in two batches.
+    last = stored.groupBy("source_file").agg(F.max(BATCH).alias(BATCH))
+    return stored.join(last, ["source_file", BATCH], "left_semi").drop(BATCH)
+
+
+def compact_silver(spark: SparkSession, lake: Lake, months: Sequence[datetime.date]) -> None:
+    """Bring all batches' bars of the given months together in one new batch.
+
+    The newest copies are written first, as a batch of their own, and the older folders
+    of these months removed then: at every moment reading silver gives the same bars.
     """
-    stored = read_table(spark, lake.quarantine, fmt=lake.fmt)
-    run = ["processed_at", BATCH]
-    last = stored.groupBy("source_file").agg(F.max(F.struct(*run)).alias("last"))
-    last = last.select("source_file", "last.*")
-    return stored.join(last, ["source_file", *run], "left_semi").drop(BATCH)
+    generation = current_generation(spark, lake)
+    if generation is None or not months:
+        return
+    batch = newest_batch(spark, lake, generation) + 1
+    # Read from the stored rows, and written before any of them is removed.
+    bars = _newest(_stored_silver(spark, lake).where(_in_months(months)), lake)
+    write_silver_batch(bars, lake, generation, batch)
+    record_run(spark, lake, generation, batch, None)
+    for number in range(batch):
+        for month in months:
+            remove_folder(spark, f"{batch_folder(lake.silver, generation, number)}/month={month}")
 
 
 def _newest(stored: DataFrame, lake: Lake) -> DataFrame:
-    """Of two readings of one file the later one counts, so a rebuild wins."""
+    """Of two readings of one file the later one counts.
+
+    Date and month follow from the key; as window keys they let filters through.
+    """
     recency = ("ingested_at", "processed_at", BATCH, "source_file")
-    return newest_copy(stored, key=lake.key, recency=recency).drop(BATCH)
+    return newest_copy(
+        stored, key=lake.key, recency=recency, implied=("date", "month")
+    ).drop(BATCH)
 
 
 def _in_months(months: Sequence[datetime.date | None]) -> Column:
@@ -132,35 +288,29 @@ def _in_months(months: Sequence[datetime.date | None]) -> Column:
     return listed | F.col("month").isNull() if None in months else listed
 
 
-def changed_months(spark: SparkSession, lake: Lake, *, after_batch: int) -> list:
-    """Months that batches later than ``after_batch`` have bars in.
+def changed_months(spark: SparkSession, lake: Lake, *, after_batch: int) -> list | None:
+    """Months that batches later than ``after_batch`` have bars in, from their records.
 
-    Brought to the driver: the list is bounded by the calendar, twelve a year.
+    None if there are more than ``MAX_MONTHS``: garbage times may name any month of
+    9,999 years.
     """
-    stored = _stored_silver(spark, lake)
-    later = stored.where(F.col(BATCH) > after_batch)
-    return [row.month for row in later.select("month").distinct().collect()]
+    runs = read_runs(spark, lake, current_generation(spark, lake))
+    later = runs.where((F.col(BATCH) > after_batch) & (F.col("bars") > 0))
+    months = [row.month for row in later.select("month").distinct().limit(MAX_MONTHS + 1).collect()]
+    return months if len(months) <= MAX_MONTHS else None
 
 
-def _newest_batch(silver: DataFrame) -> int:
-    """Read from partition folders only."""
-    return silver.agg(F.max(BATCH)).first()[0]
+def _record_progress(spark: SparkSession, lake: Lake, generation: int, batch: int) -> None:
+    row = spark.createDataFrame([(generation, batch)], PROGRESS_DDL)
+    replace_table(row.coalesce(1), lake.gold_table(PROGRESS), fmt=lake.fmt)
 
 
-def _record_progress(spark: SparkSession, lake: Lake, batch: int) -> None:
-    row = spark.createDataFrame([(batch,)], PROGRESS_DDL)
-    append_table(row, lake.gold_table(PROGRESS), fmt=lake.fmt)
-
-
-def _progress(spark: SparkSession, lake: Lake) -> int | None:
-    """The last batch gold contains; None if gold was never written."""
-    try:
-        stored = read_table(spark, lake.gold_table(PROGRESS), fmt=lake.fmt, schema=PROGRESS_DDL)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    return _newest_batch(stored)
+def _progress(spark: SparkSession, lake: Lake) -> tuple[int, int] | None:
+    """The generation and last batch gold contains; None if gold is not complete."""
+    path = lake.gold_table(PROGRESS)
+    stored = read_if_written(spark, path, fmt=lake.fmt, schema=PROGRESS_DDL)
+    row = None if stored is None else stored.first()
+    return None if row is None else (row[GENERATION], row[BATCH])
 
 
 def _daily(rollups: DataFrame, processed_at: Column | None, scale: int | None) -> DataFrame:
@@ -170,9 +320,13 @@ def _daily(rollups: DataFrame, processed_at: Column | None, scale: int | None) -
 def _replace_all_time(
     rollups: DataFrame, lake: Lake, processed_at: Column | None, scale: int | None
 ) -> None:
-    """The tables that cover all symbols or dates, from the stored daily rollup."""
-    per_symbol = merge_rollups(rollups, ["symbol"], scale=scale)
-    per_date = merge_rollups(rollups, ["date"], scale=scale)
+    """The tables that cover all symbols or dates, from one pass over the daily rollup."""
+    spark = rollups.sparkSession
+    path = lake.gold_table("all_time_rollup")
+    merged = merge_both(rollups, scale=scale)
+    replace_table(merged, path, fmt=lake.fmt)
+    stored = read_table(spark, path, fmt=lake.fmt, schema=merged.schema)
+    per_symbol, per_date = (stored.where(F.col("level") == name) for name in ("symbol", "date"))
     for name, frame in (
         ("symbol_metrics", finish_symbol(per_symbol, scale=scale)),
         ("market_metrics", finish_market(per_date, scale=scale)),
@@ -189,14 +343,16 @@ def silver_to_gold(
     processed_at: Column | None = None,
     scale: int | None = None,
 ) -> bool:
-    """Rebuild all gold tables. Returns False if silver is empty.
+    """Rebuild all gold tables. Returns False if silver is empty or not there.
 
     Silver is read once, into the daily rollup. That table is written out, and
     the three metric tables are computed from it.
     """
     silver = _stored_silver(spark, lake)
-    if silver.isEmpty():
+    if silver is None or silver.isEmpty():
         return False
+    generation = current_generation(spark, lake)
+    batch = newest_batch(spark, lake, generation)
     layout = {"fmt": lake.fmt, "partition_by": ("month",), "sort_by": ("symbol",)}
     rollups = with_month(daily_rollup(_newest(silver, lake), scale=scale))
     replace_table(rollups, lake.gold_table(ROLLUP), **layout)
@@ -204,7 +360,7 @@ def silver_to_gold(
     daily = _daily(stored, processed_at, scale)
     replace_table(daily, lake.gold_table("daily_metrics"), rebalance=False, **layout)
     _replace_all_time(stored, lake, processed_at, scale)
-    _record_progress(spark, lake, _newest_batch(silver))
+    _record_progress(spark, lake, generation, batch)
     return True
 
 
@@ -244,16 +400,21 @@ def update_gold(
 ) -> None:
     """Refresh gold with the batches ingested since it was last brought up to date.
 
-    Progress is recorded last, and refreshing again is harmless, so a run that
-    fails half way is made good by the next one. After ``bronze_to_silver``
-    call ``silver_to_gold``: a full rebuild of silver has no new batch number.
+    After a rebuild of silver gold is rebuilt too. Progress is recorded last, and
+    refreshing again is harmless, so a run that fails half way is made good by the next
+    one. Without silver nothing is done.
     """
-    done = _progress(spark, lake)
-    if done is None:
+    generation, done = current_generation(spark, lake), _progress(spark, lake)
+    if generation is None:
+        return
+    newest = newest_batch(spark, lake, generation)
+    months = None
+    if done is not None and done[0] == generation:
+        if newest == done[1]:
+            return
+        months = changed_months(spark, lake, after_batch=done[1])
+    if months is None:
         silver_to_gold(spark, lake, processed_at=processed_at, scale=scale)
         return
-    newest = _newest_batch(_stored_silver(spark, lake))
-    if newest > done:
-        months = changed_months(spark, lake, after_batch=done)
-        refresh_gold(spark, lake, months, processed_at=processed_at, scale=scale)
-        _record_progress(spark, lake, newest)
+    refresh_gold(spark, lake, months, processed_at=processed_at, scale=scale)
+    _record_progress(spark, lake, generation, newest)

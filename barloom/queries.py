@@ -145,7 +145,7 @@ def market_metrics(spark, sf_dir):
 @query
 def mean_of_daily_close(spark, sf_dir):
     daily = metrics.daily_metrics(line_bars(spark, sf_dir), scale=SCALE)
-    return metrics.mean_of_daily_close(daily, scale=SCALE)
+    return metrics.mean_of_daily_close(daily, exact=True)
 
 
 @query

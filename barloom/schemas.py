@@ -31,6 +31,11 @@ SILVER_DDL = (
     "processed_at timestamp, ingest_batch int, month date"
 )
 
+QUARANTINE_DDL = (
+    "reason string, symbol string, error string, raw_text string, source_file string, "
+    "ingested_at timestamp, processed_at timestamp, ingest_batch int"
+)
+
 PRICE_COLUMNS = ("open", "high", "low", "close")
 VALUE_COLUMNS = PRICE_COLUMNS + ("volume", "adjclose")
 

@@ -6,8 +6,10 @@ from barloom.sources.tables import (
     GoldTables,
     append_table,
     read_gold,
+    read_if_written,
     read_table,
     register_views,
+    remove_folder,
     replace_partitions,
     replace_table,
 )
@@ -20,8 +22,10 @@ __all__ = [
     "list_documents",
     "read_documents",
     "read_gold",
+    "read_if_written",
     "read_table",
     "register_views",
+    "remove_folder",
     "replace_partitions",
     "replace_table",
 ]

@@ -46,9 +46,13 @@ def with_provenance(raw: DataFrame) -> DataFrame:
 
 
 def read_documents(
-    spark: SparkSession, path: str, *, glob: str = "*.json", multi_line: bool = False
+    spark: SparkSession,
+    path: str | list[str],
+    *,
+    glob: str = "*.json",
+    multi_line: bool = False,
 ) -> DataFrame:
-    """All documents below ``path`` in one scan, one row per document.
+    """All documents below ``path``, a folder or a list of files, in one scan, one row per document.
 
     One document per line by default, so large files are split between tasks;
     ``multi_line`` reads pretty-printed files, one whole file per task.

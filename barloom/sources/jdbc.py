@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 
 def export_tables(
@@ -20,13 +21,18 @@ def export_tables(
     ``numPartitions`` bounds the connections the database has to serve. A task
     that is lost after its commit is run again and inserts its rows twice, so
     the row count is read back and a difference raises; running the export
-    again is always safe because it replaces the tables. Pass tables that were
-    read from storage, so that counting them is cheap.
+    again is always safe because it replaces the tables. Rows are counted as they are
+    written, and in the database, so neither side is read again.
     """
     options = {**(properties or {}), "batchsize": str(batch_size), "numPartitions": str(connections)}
     for name, frame in tables.items():
-        frame.write.jdbc(url, name, mode="overwrite", properties=options)
-        stored = frame.sparkSession.read.jdbc(url, name, properties=dict(properties or {})).count()
-        expected = frame.count()
+        counted = Observation()
+        observed = frame.observe(counted, F.count(F.lit(1)).alias("n"))
+        observed.write.jdbc(url, name, mode="overwrite", properties=options)
+        expected = counted.get["n"]
+        # The database counts; one row comes back.
+        reader = frame.sparkSession.read.format("jdbc").options(**(properties or {}))
+        query = f"SELECT count(*) AS n FROM {name}"
+        stored = int(reader.option("url", url).option("query", query).load().first()[0])
         if stored != expected:
             raise RuntimeError(f"{name}: {stored} rows in the database, {expected} written")

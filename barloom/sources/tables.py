@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql.types import StructType
 
 
 class GoldTables(NamedTuple):
@@ -19,7 +21,7 @@ FILE_FORMATS = ("parquet", "orc", "json")
 
 
 def read_table(
-    spark: SparkSession, path: str, *, fmt: str = "parquet", schema: str | None = None
+    spark: SparkSession, path: str, *, fmt: str = "parquet", schema: str | StructType | None = None
 ) -> DataFrame:
     """Read a table. A declared ``schema`` saves inferring it from the files,
     and lets a table that has no file yet be read as empty."""
@@ -29,6 +31,24 @@ def read_table(
     return reader.load(path)
 
 
+def read_if_written(
+    spark: SparkSession, path: str, *, schema: str, fmt: str = "parquet"
+) -> DataFrame | None:
+    """A table, or None if nothing was ever written there."""
+    try:
+        return read_table(spark, path, fmt=fmt, schema=schema)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is; none is no error."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def read_gold(spark: SparkSession, path: str, *, fmt: str = "parquet") -> GoldTables:
     """The three metric tables below one gold folder."""
     return GoldTables(*(read_table(spark, f"{path}/{name}", fmt=fmt) for name in GoldTables._fields))

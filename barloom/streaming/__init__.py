@@ -1,4 +1,4 @@
-"""Incremental runs with Structured Streaming."""
+"""Incremental runs: what landed since the last one."""
 
 from barloom.streaming.ingest import ingest_new
 

@@ -2,52 +2,84 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from barloom.operators.quality import accepted
 from barloom.plans.lake import Lake
-from barloom.plans.medallion import silver_bars, write_quarantine_batch, write_silver_batch
-from barloom.schemas import DOCUMENT_DDL
-from barloom.sources.documents import document_options, with_provenance
+from barloom.plans.medallion import (
+    FILES_DDL,
+    GENERATION,
+    current_generation,
+    newest_batch,
+    open_generation,
+    write_batch,
+)
+from barloom.sources.documents import list_documents, read_documents
+from barloom.sources.tables import read_if_written, read_table, replace_table
+
+PENDING_DDL = "path string, length bigint"
+
+
+def new_files(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Files that no batch of the current generation covers, whatever their time."""
+    listed = list_documents(spark, lake.bronze, glob=lake.glob).select("path", "length")
+    known = read_if_written(spark, lake.files, fmt=lake.fmt, schema=FILES_DDL)
+    if known is None:
+        return listed
+    covered = known.where(F.col(GENERATION) == current_generation(spark, lake))
+    return listed.join(covered, "path", "left_anti")
+
+
+def _batches(
+    pending: DataFrame, max_bytes: int, max_files: int
+) -> Iterator[list[str]]:
+    """Paths of one batch after another; only one batch's are on the driver at a time."""
+    last = None
+    while True:
+        rest = pending if last is None else pending.where(F.col("path") > last)
+        rows = rest.orderBy("path").limit(max_files).collect()
+        if not rows:
+            return
+        paths, size = [], 0
+        for row in rows:
+            if paths and size + row.length > max_bytes:
+                break
+            paths.append(row.path)
+            size += row.length
+        yield paths
+        last = paths[-1]
 
 
 def ingest_new(
-    spark: SparkSession, lake: Lake, *, max_bytes_per_batch: int = 256 * 2**30
+    spark: SparkSession,
+    lake: Lake,
+    *,
+    max_bytes_per_batch: int = 256 * 2**30,
+    max_files_per_batch: int = 10_000,
+    processed_at: Column | None = None,
 ) -> list[int]:
     """Ingest the files landed since the last run; returns the batches written.
 
-    The checkpoint remembers the files, and fixes which of them belong to which
-    batch before the batch starts. Each batch writes to a folder of its own
-    number, so one that failed half way replaces what it had written when it
-    runs again. ``max_bytes_per_batch`` keeps a backlog from becoming one
-    batch; the documents of a batch are spilled to disk after parsing because
-    two tables are written from them.
+    The listing is compared by path with the files that finished batches cover, so a
+    file counts as new however old it is, and is read once. A batch's files are recorded
+    last: one that failed half way is found again, and its folder replaced. The limits
+    keep a backlog from becoming one batch.
     """
-    reader = (
-        spark.readStream.schema(DOCUMENT_DDL)
-        .options(**document_options(glob=lake.glob))
-        .option("maxBytesPerTrigger", max_bytes_per_batch)
-    )
+    generation = current_generation(spark, lake)
+    if generation is None:
+        generation = 0
+    replace_table(new_files(spark, lake), lake.pending, fmt=lake.fmt)
+    pending = read_table(spark, lake.pending, fmt=lake.fmt, schema=PENDING_DDL)
     written: list[int] = []
-
-    def write_batch(documents: DataFrame, number: int) -> None:
-        # Batch 0 of the stream is ingest batch 1: 0 belongs to the full rebuild.
-        batch = number + 1
-        documents.persist(StorageLevel.DISK_ONLY)
-        try:
-            write_silver_batch(silver_bars(accepted(documents)), lake, batch)
-            write_quarantine_batch(documents, lake, batch)
-        finally:
-            documents.unpersist()
+    for paths in _batches(pending, max_bytes_per_batch, max_files_per_batch):
+        # Batch 0 belongs to a full rebuild.
+        batch = (newest_batch(spark, lake, generation) or 0) + 1
+        raw = read_documents(spark, paths, glob=lake.glob, multi_line=lake.multi_line)
+        files = pending.where(F.col("path").between(paths[0], paths[-1]))
+        write_batch(spark, raw, files, lake, generation, batch, processed_at=processed_at)
+        if current_generation(spark, lake) is None:
+            open_generation(spark, lake, generation)
         written.append(batch)
-
-    query = (
-        with_provenance(reader.json(lake.bronze))
-        .writeStream.foreachBatch(write_batch)
-        .option("checkpointLocation", lake.checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
     return written

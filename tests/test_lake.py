@@ -3,25 +3,29 @@
 from __future__ import annotations
 
 import datetime
+import json
+import os
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from barloom.__main__ import main
+from barloom.operators.filters import on_date, trailing
 from barloom.plans import (
     Lake,
     bronze_to_silver,
     changed_months,
+    compact_silver,
     read_quarantine,
     read_silver,
+    read_trailing,
     refresh_gold,
     silver_to_gold,
     update_gold,
 )
 from barloom.plans import medallion
 from barloom.sources import append_table, read_gold, read_table, register_views, replace_table
-from barloom.streaming import ingest as ingest_module
 from barloom.streaming import ingest_new
 from tests.samples import document, land, result
 
@@ -108,22 +112,147 @@ def test_correction_in_a_later_batch_wins(spark, lake):
 def test_rebuild_replaces_what_an_earlier_run_parsed(spark, lake, monkeypatch):
     put(lake, "1.json", document(result("A", times=(JAN,), close=[1.0])), "{bad", "{bad")
 
-    def wrong(documents):
-        return medallion.silver_bars(documents).withColumn("close", F.lit(0.0))
+    right = medallion.silver_bars
+
+    def wrong(documents, processed_at=None):
+        return right(documents, processed_at).withColumn("close", F.lit(0.0))
 
     with monkeypatch.context() as broken:
-        broken.setattr(ingest_module, "silver_bars", wrong)
+        broken.setattr(medallion, "silver_bars", wrong)
         ingest_new(spark, lake)
     assert closes(spark, lake) == [("A", JAN, 0.0)]
+    first_run = read_quarantine(spark, lake).first()
     bronze_to_silver(spark, lake)
     assert closes(spark, lake) == [("A", JAN, 1.0)]
-    assert read_table(spark, lake.quarantine).count() == 4
+    assert read_table(spark, lake.silver).count() == 1
+    assert read_table(spark, lake.quarantine).count() == 2
     found = read_quarantine(spark, lake).collect()
     assert [r.reason for r in found] == ["malformed"] * 2
-    first_run = read_table(spark, lake.quarantine).where("ingest_batch = 1").first()
     assert all(r.processed_at > first_run.processed_at for r in found)
 
 
+def test_rebuild_drops_what_was_deleted_or_repaired(spark, lake):
+    put(lake, "1.json", document(result("A", times=(JAN,), close=[1.0])))
+    put(lake, "2.json", document(result("B", times=(JAN,), close=[2.0])))
+    put(lake, "3.json", "{bad")
+    ingest_new(spark, lake)
+    assert [r.reason for r in read_quarantine(spark, lake).collect()] == ["malformed"]
+    Path(lake.bronze, "2.json").unlink()
+    put(lake, "3.json", document(result("C", times=(FEB,), close=[3.0])))
+    bronze_to_silver(spark, lake)
+    assert closes(spark, lake) == [("A", JAN, 1.0), ("C", FEB, 3.0)]
+    assert read_quarantine(spark, lake).count() == 0
+    assert ingest_new(spark, lake) == []
+
+
+def test_update_after_a_rebuild_rebuilds_gold(spark, lake):
+    put(lake, "1.json", document(result("A", times=(JAN,))))
+    ingest_new(spark, lake)
+    update_gold(spark, lake)
+    put(lake, "2.json", document(result("B", times=(FEB,))))
+    bronze_to_silver(spark, lake)
+    update_gold(spark, lake)
+    symbols = read_gold(spark, lake.gold).symbol_metrics.select("symbol").collect()
+    assert sorted(r.symbol for r in symbols) == ["A", "B"]
+
+
+def test_failed_rebuild_leaves_the_last_generation(spark, lake, monkeypatch):
+    put(lake, "1.json", document(result("A", times=(JAN,), close=[1.0])), "{bad")
+    ingest_new(spark, lake)
+    put(lake, "1.json", document(result("A", times=(JAN,), close=[2.0])))
+
+    def fail(*args, **kwargs):
+        raise OSError("lost")
+
+    for step in ("write_quarantine_batch", "record_run", "open_generation"):
+        with monkeypatch.context() as broken:
+            broken.setattr(medallion, step, fail)
+            with pytest.raises(OSError):
+                bronze_to_silver(spark, lake)
+        assert closes(spark, lake) == [("A", JAN, 1.0)]
+        assert read_quarantine(spark, lake).count() == 1
+    bronze_to_silver(spark, lake)
+    assert closes(spark, lake) == [("A", JAN, 2.0)]
+    assert read_quarantine(spark, lake).count() == 0
+
+
+def test_old_files_are_ingested(spark, lake):
+    put(lake, "1.json", document(result("A", times=(JAN,))))
+    ingest_new(spark, lake)
+    put(lake, "2.json", document(result("B", times=(JAN,))))
+    past = Path(lake.bronze, "1.json").stat().st_mtime - 8 * DAY
+    os.utime(Path(lake.bronze, "2.json"), (past, past))
+    assert ingest_new(spark, lake) == [2]
+    assert {symbol for symbol, _, _ in closes(spark, lake)} == {"A", "B"}
+    assert ingest_new(spark, lake) == []
+
+
+def test_lookups_in_silver_read_only_their_months(spark, lake):
+    put(lake, "1.json", document(result("A", times=(JAN, FEB, MAR), close=[1.0, 2.0, 3.0])))
+    ingest_new(spark, lake)
+    put(lake, "2.json", document(result("A", times=(FEB, MAR), close=[4.0, 5.0])))
+    ingest_new(spark, lake)
+    day = on_date(read_silver(spark, lake), datetime.date(2024, 2, 10))
+    assert [r.close for r in day.collect()] == [4.0]
+    last = read_trailing(spark, lake, "5d")
+    assert [r.close for r in last.collect()] == [5.0]
+    for found in (day, last):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        scans = [line for line in plan.splitlines() if "PartitionFilters" in line]
+        assert scans and all("month" in line.split("PartitionFilters")[1] for line in scans)
+    assert [r.close for r in trailing(read_silver(spark, lake), "5d").collect()] == [5.0]
+
+
+def test_compaction_keeps_silver_and_empties_older_batches(spark, lake):
+    for name, close in (("1", 1.0), ("2", 2.0), ("3", 3.0)):
+        put(lake, f"{name}.json", document(result("A", times=(JAN, FEB), close=[close, close])))
+        ingest_new(spark, lake)
+    before = closes(spark, lake)
+    update_gold(spark, lake)
+    gold = gold_rows(spark, lake)
+    compact_silver(spark, lake, [datetime.date(2024, 1, 1)])
+    assert closes(spark, lake) == before
+    stored = read_table(spark, lake.silver).groupBy("month").count().collect()
+    assert {str(r.month): r["count"] for r in stored} == {"2024-01-01": 1, "2024-02-01": 3}
+    assert ingest_new(spark, lake) == []
+    update_gold(spark, lake)
+    assert gold_rows(spark, lake) == gold
+
+
+def test_prices_that_are_no_numbers(spark, lake):
+    text = json.dumps(document(result("A", times=(JAN, FEB), close=[1.0, 7.5])))
+    put(lake, "1.json", text.replace("7.5", "NaN"))
+    text = json.dumps(document(result("B", times=(JAN, FEB), open=[2.0, 7.5])))
+    put(lake, "2.json", text.replace("7.5", "-Infinity"))
+    bronze_to_silver(spark, lake)
+    found = read_quarantine(spark, lake).collect()
+    assert sorted((r.symbol, r.reason) for r in found) == [("A", "value"), ("B", "value")]
+    assert closes(spark, lake)[:2] == [("A", JAN, 1.0), ("A", FEB, None)]
+    for scale in (None, 6):
+        silver_to_gold(spark, lake, scale=scale)
+        market = read_gold(spark, lake.gold).market_metrics.collect()
+        assert len(market) == 2 and all(r.market_avg_close < 1e6 for r in market)
+
+
+def test_update_without_silver_does_nothing(spark, lake):
+    Path(lake.bronze).mkdir(parents=True)
+    main(["ingest", "--root", lake.root, "--then-gold"])
+    assert not Path(lake.gold).exists() and not Path(lake.silver).exists()
+
+
+def test_formats_that_cannot_hold_the_layout_are_refused(folder):
+    with pytest.raises(ValueError, match="delta"):
+        Lake(folder, fmt="delta")
+
+
+def test_pretty_printed_documents_and_one_stamp(spark, folder):
+    lake = Lake(folder, multi_line=True)
+    put(lake, "1.json", json.dumps(document(result("A", times=(JAN,))), indent=2))
+    ingest_new(spark, lake, processed_at=F.lit(datetime.datetime(2024, 5, 6)))
+    assert read_silver(spark, lake).first().processed_at == datetime.datetime(2024, 5, 6)
+    assert read_quarantine(spark, lake).count() == 0
+
+
 def test_daily_key_of_a_lake(spark, folder):
     lake = Lake(folder, key=("symbol", "date"))
     put(lake, "1.json", document(result("A", times=(JAN, JAN + 1), close=[1.0, 2.0])))
@@ -138,12 +267,14 @@ def test_failed_batch_replaces_what_it_had_written(spark, lake, monkeypatch):
         raise OSError("lost")
 
     with monkeypatch.context() as broken:
-        broken.setattr(ingest_module, "write_quarantine_batch", fail)
+        broken.setattr(medallion, "write_quarantine_batch", fail)
         with pytest.raises(Exception, match="lost"):
             ingest_new(spark, lake)
-    assert Path(lake.silver, "ingest_batch=1").exists()
+    assert Path(lake.silver, "generation=0", "ingest_batch=1").exists()
+    assert closes(spark, lake) == []
     put(lake, "2.json", document(result("B", times=(MAR,))))
-    assert ingest_new(spark, lake) == [1, 2]
+    # The failed batch has no record: its number is used again, for all that is new.
+    assert ingest_new(spark, lake) == [1]
     assert read_table(spark, lake.silver).count() == 3
 
 
