@@ -132,17 +132,29 @@ FROM lineitem GROUP BY 1""",
     "quarantine": f"""
 WITH {DAY_BARS}
 SELECT symbol, 'malformed' AS reason, CAST(0 AS bigint) AS bars
-FROM day_bars WHERE grade = 'A' GROUP BY symbol
+FROM day_bars WHERE grade = 'A' AND symbol NOT LIKE '%0' GROUP BY symbol
 UNION ALL
 SELECT symbol, 'length', 0 FROM day_bars WHERE grade = 'R' GROUP BY symbol
 UNION ALL
+SELECT symbol, CASE WHEN right(symbol, 1) IN ('0', '2', '4', '6', '8') THEN 'value'
+                    ELSE 'timestamp' END, 0
+FROM day_bars WHERE grade = 'N' GROUP BY symbol
+UNION ALL
 SELECT 'S' || s_suppkey, 'error', 0 FROM supplier GROUP BY 1
 UNION ALL
-SELECT symbol, 'none', count(*) FROM day_bars WHERE grade <> 'A' GROUP BY symbol""",
+SELECT symbol, 'none', count(*) FROM day_bars WHERE grade <> 'A' OR symbol LIKE '%0'
+GROUP BY symbol""",
     "silver_append": f"""
 WITH {BARS}
 SELECT symbol, date, CAST(date_trunc('month', date) AS date) AS month, {PRICES} FROM bars""",
-    "incremental_ingest": f"WITH {DAY_BARS} SELECT symbol, date, {PRICES} FROM day_bars",
+    "incremental_ingest": f"""
+WITH {DAY_BARS}
+SELECT symbol, date, {PRICES} FROM day_bars
+UNION ALL
+SELECT 'L' || symbol, date, {PRICES} FROM day_bars""",
+    "silver_date_lookup": f"""
+WITH {DAY_BARS}
+SELECT symbol, date, {PRICES} FROM day_bars WHERE date = DATE '1998-01-05'""",
     "gold_partition_overwrite": f"WITH {DAY_BARS}, {_daily('day_bars')} SELECT * FROM daily",
     "medallion": f"""
 WITH {DAY_BARS}, {_symbol('day_bars')}, {_market('day_bars')}

@@ -287,38 +287,50 @@ def bronze_listing(spark, sf_dir):
 
 @query
 def quarantine(spark, sf_dir):
-    """Damage some documents, add errors, and see where each of them goes.
+    """Damage some documents, add errors, repair some, and see where each of them goes.
 
     Documents of grade A lose their last character, those of grade R the last
-    element of ``open``; every supplier adds a document with an error. All
-    bars of the other documents must be in silver.
+    element of ``open``, in those of grade N the first element is no number or, for
+    every second supplier, a time is beyond all calendars. Every supplier adds a
+    document with an error. All bars of documents that are not malformed must be in
+    silver. Malformed documents of suppliers that end in 0 are repaired before silver
+    is built again.
     """
     lake = Lake(scratch_folder(spark, "quarantine"), glob="*.txt")
     packed = pack_documents(daily_bars(spark, sf_dir), by=["grade"])
     text = F.to_json(F.struct("chart"), {"ignoreNullFields": "false"})
-    damaged = (
-        F.when(F.col("grade") == "A", text.substr(F.lit(1), F.length(text) - 1))
-        .when(
-            F.col("grade") == "R",
-            F.regexp_replace(text, r',?[^,\[\]]*\],"high"', r'],"high"'),
+    even = F.col("symbol").rlike("[02468]$")
+    repaired = F.col("symbol").endswith("0")
+    cut = text.substr(F.lit(1), F.length(text) - 1)
+
+    def damaged(malformed):
+        return (
+            F.when(F.col("grade") == "A", malformed)
+            .when(
+                F.col("grade") == "R",
+                F.regexp_replace(text, r',?[^,\[\]]*\],"high"', r'],"high"'),
+            )
+            .when(even, F.regexp_replace(text, r'"open":\[[^,\]]*', r'"open":[NaN'))
+            .otherwise(F.regexp_replace(text, r'"timestamp":\[', r'"timestamp":[999999999999999,'))
         )
-        .otherwise(text)
-    )
+
     failed = F.concat(
         F.lit('{"chart":{"result":null,"error":{"code":"Not Found","symbol":"S'),
         F.col("s_suppkey"),
         F.lit('"}}}'),
     )
     errors = _table(spark, sf_dir, "supplier").select(failed.alias("value"))
-    packed.select(damaged.alias("value")).unionByName(errors).write.text(lake.bronze)
-    bronze_to_silver(spark, lake)
+    for malformed in (cut, F.when(repaired, text).otherwise(cut)):
+        landed = packed.select(damaged(malformed).alias("value")).unionByName(errors)
+        landed.write.mode("overwrite").text(lake.bronze)
+        bronze_to_silver(spark, lake)
     named = F.coalesce(
         "symbol",
         F.get_json_object("error", "$.symbol"),
         F.regexp_extract("raw_text", '"symbol":"([^"]*)"', 1),
     )
     aside = read_quarantine(spark, lake).select(named.alias("symbol"), "reason").distinct()
-    kept = read_silver(spark, lake).groupBy("symbol").agg(F.count("*").alias("bars"))
+    kept = read_silver(spark, lake).groupBy("symbol").agg(F.count("datetime").alias("bars"))
     return aside.withColumn("bars", F.lit(0).cast("bigint")).unionByName(
         kept.withColumn("reason", F.lit("none"))
     )
@@ -363,14 +375,41 @@ def _ingest_twice(spark, sf_dir, name, after_first=None):
     return lake
 
 
+def _age(spark, path, days):
+    """Set the times of all files below ``path`` back."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = system.listFiles(folder, True)
+    while files.hasNext():
+        status = files.next()
+        time = status.getModificationTime() - days * 86_400_000
+        system.setTimes(status.getPath(), time, -1)
+
+
 @query
 def incremental_ingest(spark, sf_dir):
-    """Two landings and three runs: each file is read once, corrections win."""
+    """Three landings and four runs: each file is read once, corrections win.
+
+    The third landing has bars of its own, in files older than all others.
+    """
     lake = _ingest_twice(spark, sf_dir, "incremental")
     ingest_new(spark, lake)
+    run = "19900101_000000"
+    more = daily_bars(spark, sf_dir).withColumn("symbol", F.concat(F.lit("L"), "symbol"))
+    _land_run(more, lake, run)
+    _age(spark, f"{lake.bronze}/run={run}", 30)
+    ingest_new(spark, lake)
     return _prices(read_silver(spark, lake), "symbol", "date")
 
 
+@query
+def silver_date_lookup(spark, sf_dir):
+    """One date of silver after two landings; only its month is read."""
+    lake = _ingest_twice(spark, sf_dir, "lookup")
+    return _prices(filters.on_date(read_silver(spark, lake), LOOKUP_DATE), "symbol", "date")
+
+
 @query
 def gold_partition_overwrite(spark, sf_dir):
     """Gold after a refresh of only the months the second landing touched."""

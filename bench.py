@@ -27,6 +27,7 @@ STORAGE = {
     "incremental_ingest",
     "medallion",
     "quarantine",
+    "silver_date_lookup",
     "silver_append",
 }
 

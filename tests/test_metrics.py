@@ -40,7 +40,7 @@ def silver(spark):
 def ragged(spark):
     """NULL close, NULL symbol, and two bars of one symbol and date."""
     extra = [
-        ("AAPL", DAY1, 100.0, 200.0, 90.0, None, 10, None),
+        ("OAK", DAY1, 100.0, 200.0, 90.0, None, 10, None),
         (None, DAY1, 1.0, 2.0, 0.5, 1.5, None, 1.5),
     ]
     return spark.createDataFrame(SILVER + extra, SILVER_DDL)
@@ -50,21 +50,21 @@ def ragged(spark):
 def test_daily(silver, scale):
     rows = daily_metrics(silver, scale=scale)
     assert rows.count() == 6
-    row = symbol_on_date(rows, "AAPL", DAY1).first()
-    assert row.avg_open == 150.23
-    assert row.avg_close == 152.34
-    assert (row.max_high, row.min_low) == (153.45, 149.56)
-    assert (row.total_volume, row.data_points) == (28736500, 1)
+    row = symbol_on_date(rows, "OAK", DAY1).first()
+    assert row.avg_open == 12.5
+    assert row.avg_close == 13.5
+    assert (row.max_high, row.min_low) == (14.25, 11.75)
+    assert (row.total_volume, row.data_points) == (4000, 1)
 
 
 @SCALES
 def test_symbol(silver, scale):
     rows = symbol_metrics(silver, scale=scale)
     assert rows.count() == 3
-    row = for_symbol(rows, "AAPL").first()
-    assert row.avg_close == pytest.approx(152.895, abs=1e-9)
-    assert (row.max_high_all_time, row.min_low_all_time) == (154.67, 149.56)
-    assert row.avg_volume == (28736500 + 31654300) / 2
+    row = for_symbol(rows, "OAK").first()
+    assert row.avg_close == pytest.approx(14.125, abs=1e-9)
+    assert (row.max_high_all_time, row.min_low_all_time) == (15.5, 11.75)
+    assert row.avg_volume == 5000.0
     assert row.total_data_points == 2
 
 
@@ -74,7 +74,7 @@ def test_market(silver, scale, distinct):
     rows = market_metrics(silver, scale=scale, distinct_symbols=distinct)
     assert rows.count() == 2
     row = on_date(rows, DAY1).first()
-    assert round(row.market_avg_close, 2) == 915.15
+    assert row.market_avg_close == 255.0
     assert row.symbols_count == 3
     assert ("distinct_symbols" in rows.columns) == distinct
 
@@ -83,11 +83,11 @@ def test_market(silver, scale, distinct):
 def test_counts_differ_in_what_they_count(ragged, scale):
     day = on_date(market_metrics(ragged, scale=scale), DAY1).first()
     assert (day.symbols_count, day.distinct_symbols) == (4, 3)
-    row = symbol_on_date(daily_metrics(ragged, scale=scale), "AAPL", DAY1).first()
+    row = symbol_on_date(daily_metrics(ragged, scale=scale), "OAK", DAY1).first()
     assert row.data_points == 2
-    assert row.avg_close == 152.34
-    assert row.avg_open == pytest.approx((150.23 + 100.0) / 2)
-    assert row.total_volume == 28736510
+    assert row.avg_close == 13.5
+    assert row.avg_open == 56.25
+    assert row.total_volume == 4010
     unnamed = daily_metrics(ragged, scale=scale).where("symbol IS NULL").first()
     assert (unnamed.data_points, unnamed.total_volume) == (1, None)
 
@@ -149,12 +149,33 @@ def test_volume_overflow_raises_instead_of_wrapping(spark):
         daily_metrics(bars).collect()
 
 
+@pytest.mark.parametrize("exact", [False, True])
+def test_mean_of_means_is_not_rounded(spark, exact):
+    """One day of three closes whose mean has no end: a scale of prices must not cut it."""
+    bars = [("A", DAY1, c, c, c, c, 1, c) for c in (1.0, 1.0, 1.01)]
+    bars.append(("A", DAY2, 2.0, 2.0, 2.0, 2.0, 1, 2.0))
+    for scale in (None, 2, 6):
+        daily = daily_metrics(spark.createDataFrame(bars, SILVER_DDL), scale=scale)
+        mean = mean_of_daily_close(daily, exact=exact).first().avg_close
+        assert mean == pytest.approx((3.01 / 3 + 2.0) / 2, abs=1e-12)
+
+
+def test_more_decimals_than_the_scale_are_refused(spark):
+    bars = spark.createDataFrame([("A", DAY1, *[1.005] * 4, 1, 1.005)], SILVER_DDL)
+    assert daily_metrics(bars, scale=3).first().avg_close == 1.005
+    with pytest.raises(Exception, match="2 decimals"):
+        daily_metrics(bars, scale=2).collect()
+    wrong = spark.createDataFrame([("A", DAY1, *[float("nan")] * 4, 1, None)], SILVER_DDL)
+    with pytest.raises(Exception, match="finite"):
+        daily_metrics(wrong, scale=2).collect()
+
+
 @SCALES
 def test_mean_of_means_and_weighted_mean(spark, scale):
     day = lambda d, close: ("A", d, close, close, close, close, 1, close)
     bars = spark.createDataFrame([day(DAY1, 1.0), day(DAY1, 2.0), day(DAY2, 9.0)], SILVER_DDL)
     daily = daily_metrics(bars, scale=scale)
-    assert mean_of_daily_close(daily, scale=scale).first().avg_close == (1.5 + 9.0) / 2
+    assert mean_of_daily_close(daily).first().avg_close == (1.5 + 9.0) / 2
     row = weighted_close(daily_rollup(bars, scale=scale), scale=scale).first()
     assert (row.weighted_close, row.n_close) == (4.0, 3)
 
@@ -167,11 +188,11 @@ def test_totals_agree_between_tables(silver):
 
 def test_serving_selections(silver):
     daily = with_month(daily_metrics(silver))
-    assert [r.date for r in symbol_series(daily, "MSFT").collect()] == [DAY1, DAY2]
+    assert [r.date for r in symbol_series(daily, "ELM").collect()] == [DAY1, DAY2]
     assert on_date(daily, DAY2).count() == 3
-    assert on_date(daily, datetime.date(2023, 5, 19)).isEmpty()
+    assert on_date(daily, datetime.date(2011, 12, 8)).isEmpty()
     shown = preview(daily, 2, order_by=[F.desc("avg_close")])
-    assert list(shown["symbol"]) == ["GOOGL", "GOOGL"]
+    assert list(shown["symbol"]) == ["YEW", "YEW"]
     assert len(preview(daily, 4)) == 4
 
 

@@ -68,19 +68,16 @@ def test_documents_are_bounded_and_ordinary_symbols_stay_whole(skewed):
     assert all(n == 1 for s, n in per_symbol.items() if s.startswith("S"))
 
 
-def test_no_group_gathers_more_than_one_input_partition(skewed):
+@pytest.mark.parametrize("clustered", [False, True])
+def test_parts_are_bounded_whatever_the_layout(spark, skewed, clustered):
+    """A hot group of 200 times ``max_bars`` rows, also with all its rows in one partition."""
+    hot = [("HOT", t % 7, 1.0, 1.0, 1.0, 1.0, t, 1.0, "X") for t in range(4000)]
+    rows = frame(spark, hot).unionByName(skewed)
+    rows = rows.repartition(3, "symbol") if clustered else rows.repartition(5)
     keys = ["symbol", "exchange"]
-    share = skewed.groupBy(F.spark_partition_id(), *keys).count().agg(F.max("count")).first()[0]
-    rows = skewed.select(*keys)
-    parts = pack._with_part(rows, keys, 50).groupBy(*keys, "_part").count()
-    assert parts.agg(F.max("count")).first()[0] <= max(50, share)
-
-
-def test_hot_list_too_long_to_broadcast(spark, skewed, folder, monkeypatch):
-    monkeypatch.setattr(pack, "HOT_LIST_ROWS", 1)
-    documents = pack_documents(skewed, max_bars=50)
-    assert max(sizes(documents)) <= 50
-    assert contents(returned(spark, documents, folder)) == Counter(skewed_rows())
+    parts = pack._with_part(rows.select(*keys), keys, 20).groupBy(*keys, "_part").count()
+    assert parts.where("_part.source >= 0").agg(F.max("count")).first()[0] <= 20
+    assert parts.where("_part.source < 0").agg(F.max("count")).first()[0] <= 20
 
 
 def test_times_are_in_order_within_a_document(spark):

@@ -23,17 +23,25 @@ from barloom.sources import export_tables
 @pytest.fixture
 def database(monkeypatch):
     """Records writes; a read returns what was last written, or ``override``."""
-    state = {"writes": [], "stored": {}, "override": None}
+    state = {"writes": [], "stored": {}, "override": None, "queries": []}
 
     def write(self, url, table, mode=None, properties=None):
         state["writes"].append((url, table, mode, properties))
-        state["stored"][table] = self._df
+        state["stored"][table] = len(self._df.collect())
 
-    def read(self, url, table, properties=None):
-        return state["override"] or state["stored"][table]
+    def load(self):
+        query = self.asked["query"]
+        state["queries"].append(query)
+        n = state["override"] or state["stored"][query.rsplit(" ", 1)[1]]
+        return self._spark.createDataFrame([(n,)], "n bigint")
+
+    def option(self, key, value):
+        self.asked = getattr(self, "asked", {}) | {key: value}
+        return self
 
     monkeypatch.setattr(DataFrameWriter, "jdbc", write)
-    monkeypatch.setattr(DataFrameReader, "jdbc", read)
+    monkeypatch.setattr(DataFrameReader, "option", option)
+    monkeypatch.setattr(DataFrameReader, "load", load)
     return state
 
 
@@ -44,11 +52,15 @@ def test_export_replaces_each_table_from_executors(spark, database):
         ("daily_metrics", "overwrite"),
         ("symbol_metrics", "overwrite"),
     ]
+    assert database["queries"] == [
+        "SELECT count(*) AS n FROM daily_metrics",
+        "SELECT count(*) AS n FROM symbol_metrics",
+    ]
     assert database["writes"][0][3] == {"user": "u", "batchsize": "10000", "numPartitions": "3"}
 
 
 def test_export_reports_rows_inserted_twice(spark, database):
-    database["override"] = spark.range(6)
+    database["override"] = 6
     with pytest.raises(RuntimeError, match="6 rows in the database, 5 written"):
         export_tables({"daily_metrics": spark.range(5)}, "jdbc:x:y")
 
