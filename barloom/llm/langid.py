@@ -27,7 +27,7 @@ WINDOW = 128
 BATCH = 4096
 #: Training: documents of each language, and of all; windows of each; their bytes.
 EACH, ALL, WINDOWS, LENGTH = 1000, 20_000, 4, 64
-EPOCHS, TRAIN_BATCH, RATE = 4, 256, 0.005
+STEPS, TRAIN_BATCH, RATE = 300, 256, 0.005
 
 UNKNOWN = "und"
 
@@ -140,20 +140,18 @@ def train(langs: list[str], x: np.ndarray, lengths: np.ndarray, label: np.ndarra
     first = {k: np.zeros_like(v) for k, v in net.w.items()}
     second = {k: np.zeros_like(v) for k, v in net.w.items()}
     mask = (np.arange(x.shape[1]) < lengths[:, None]).astype(np.float32)
-    total = EPOCHS * -(-len(x) // TRAIN_BATCH)
-    step = 0
-    for epoch in range(EPOCHS):
-        order = np.random.default_rng(epoch).permutation(len(x))
-        for start in range(0, len(x), TRAIN_BATCH):
-            rows = order[start : start + TRAIN_BATCH]
-            grads = net.gradients(x[rows].T.copy(), mask[rows].T, label[rows])
-            step += 1
-            rate = RATE * min(1.0, 2 * (1 - step / (total + 1)))
-            for k, g in grads.items():  # Adam
-                first[k] += 0.1 * (g - first[k])
-                second[k] += 0.01 * (g * g - second[k])
-                scale = rate / (1 - 0.9**step) * (1 - 0.99**step) ** 0.5
-                net.w[k] -= (scale * first[k] / (np.sqrt(second[k]) + 1e-8)).astype(np.float32)
+    random, order = np.random.default_rng(0), np.zeros(0, np.int64)
+    for step in range(1, STEPS + 1):
+        if not len(order):
+            order = random.permutation(len(x))
+        rows, order = order[:TRAIN_BATCH], order[TRAIN_BATCH:]
+        grads = net.gradients(x[rows].T.copy(), mask[rows].T, label[rows])
+        rate = RATE * min(1.0, 2 * (1 - step / (STEPS + 1)))
+        for k, g in grads.items():  # Adam
+            first[k] += 0.1 * (g - first[k])
+            second[k] += 0.01 * (g * g - second[k])
+            scale = rate / (1 - 0.9**step) * (1 - 0.99**step) ** 0.5
+            net.w[k] -= (scale * first[k] / (np.sqrt(second[k]) + 1e-8)).astype(np.float32)
     return net
 
 

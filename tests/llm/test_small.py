@@ -1,0 +1,295 @@
+"""The methods on small cases, against brute force; no Spark."""
+
+from __future__ import annotations
+
+import base64
+import itertools
+import math
+import random
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+import tiktoken
+
+from barloom.llm import fertility, langid, neardup, packing, ppm, sharding, simple8b, toxicity
+from barloom.llm.bpe import Vocabulary
+from barloom.llm.common import steps, utf8, word_spans
+from barloom.llm.embdedup import compare_tiles, forest
+from barloom.llm.tokens import WordIds
+
+TEXTS = ["", None, "one", "a b\nc", " \n\t ", "é à", "x" * 3000, "a\x1cb", "end", "start", "日本 語"]
+
+
+def arrays(texts):
+    return utf8(pa.array(texts, pa.string()))
+
+
+def test_words_do_not_run_across_texts():
+    data, offsets = arrays(TEXTS)
+    starts, ends, text = word_spans(data, offsets)
+    found = [(t, data[a:b].tobytes().decode()) for a, b, t in zip(starts, ends, text, strict=True)]
+    expected = [
+        (i, word)
+        for i, t in enumerate(TEXTS)
+        for word in (t or "").translate({9: 32, 10: 32}).split(" ")
+        if word
+    ]
+    assert found == expected
+
+
+def test_steps_keep_all_rows_and_long_texts_alone():
+    batch = pa.RecordBatch.from_arrays([pa.array(TEXTS)], ["text"])
+    parts = [part["text"].to_pylist() for part in steps(iter([batch]), "text", 10)]
+    assert list(itertools.chain(*parts)) == TEXTS
+    assert ["x" * 3000] in parts
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    return Vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
+def test_bpe_equals_merging(vocabulary):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    reference = tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+    )
+    rng = random.Random(3)
+    tokens = [t for t in ranks if len(t) > 1]
+    pieces = {"a", "aaaaaaa", "!" * 500, "the" * 40}
+    while len(pieces) < 1500:
+        text = b"".join(rng.choice(tokens) for _ in range(rng.randint(1, 4))).decode("utf-8", "ignore")
+        pieces.update(text.split())
+    pieces = sorted(pieces)
+    latin = [p.encode().decode("latin-1") for p in pieces]
+    whole = [reference._encode_single_piece(p) for p in pieces]
+    assert [ids.tolist() for ids in vocabulary.encode(latin)] == whole
+    assert [vocabulary.search(p) for p in latin] == whole
+    for p, ids in zip(pieces, whole, strict=True):
+        assert vocabulary.decode(np.array(ids)).tobytes() == p.encode()
+
+
+def test_word_ids_equal_the_library():
+    words = WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    odd = ["A<|endoftext|>b <|ENDOFTEXT|>", "It's 'TIS, 12.5!? ...x É.a ×, ÷.", "K ̸, a,̸.", ".a", "b."]
+    texts = pa.array([*TEXTS, *odd, *odd])
+    for _ in range(2):  # the second time from the cache
+        ids, ends = words.ids(texts)
+        for i, text in enumerate(texts.to_pylist()):
+            expected = words.tokenizer.encode(text or "", add_special_tokens=False).ids
+            assert ids[ends[i] : ends[i + 1]].tolist() == expected
+
+
+@pytest.mark.parametrize("size", [0, 1, 1023, 1024, 1025, 4000])
+@pytest.mark.parametrize("top", [2, 300, 50_000, 1 << 31, 1 << 62])
+def test_simple8b_round_trip(size, top):
+    ids = np.random.default_rng(size).integers(0, top, size, dtype=np.uint64)
+    if top == 1 << 62:
+        ids[::5] = np.uint64(2**64 - 1)
+    image = simple8b.Image(simple8b.write_image(ids, np.array([size])))
+    assert np.array_equal(image.ids(), ids)
+    if image.blocks > 1:
+        assert np.array_equal(image.ids(1, 2), ids[1024:2048])
+    with pytest.raises(ValueError):
+        simple8b.Image(b"\0" * 48)
+
+
+def test_packing_places_every_piece_once():
+    rng = random.Random(5)
+    for _ in range(200):
+        size = rng.choice([8, 16, 64])
+        lengths = [rng.randint(1, size) for _ in range(rng.randint(1, 80))]
+        runs = packing.pack_histogram(Counter(lengths), size)
+        used: dict[int, list] = {}
+        placed = Counter()
+        for run in runs:
+            for rank in range(run.packs * run.times):
+                time, copy = divmod(rank, run.packs)
+                used.setdefault(run.sequence + copy, []).append(
+                    (run.offset + time * run.length, run.length)
+                )
+                placed[run.length] += 1
+        assert placed == Counter(lengths)
+        for pieces in used.values():
+            end = 0
+            for offset, length in sorted(pieces):
+                assert offset == end
+                end += length
+            assert end <= size
+        # Packs at most half full could have been joined.
+        assert len(used) <= 2 * math.ceil(sum(lengths) / size) + 1
+
+
+def brute_capacity(sizes, shards):
+    best = math.inf
+    for cuts in itertools.combinations_with_replacement(range(len(sizes) + 1), shards - 1):
+        edges = [0, *cuts, len(sizes)]
+        best = min(best, max(sum(sizes[a:b]) for a, b in itertools.pairwise(edges)))
+    return best
+
+
+def test_minimax_capacity_is_the_smallest():
+    rng = random.Random(9)
+    for _ in range(150):
+        sizes = [rng.choice([1, 2, 5, 9, 40]) for _ in range(rng.randint(1, 9))]
+        shards = rng.randint(1, 4)
+        cells = [sharding.Cell(f"{i:03x}", size, True) for i, size in enumerate(sizes)]
+        low, high = sharding.bounds(cells, shards)
+        assert low == high == brute_capacity(sizes, shards)
+        starts = sharding.cuts(cells, shards, high)
+        shard = [sum(c.prefix >= s for s in starts) for c in cells]
+        loads = Counter()
+        for number, size in zip(shard, sizes, strict=True):
+            loads[number] += size
+        assert max(loads.values()) <= high and max(shard) < shards
+
+
+def naive_ppm(train, order):
+    """Counts by context, as nested dictionaries."""
+    seen: dict[tuple, Counter] = {}
+    for text in train:
+        symbols = [ppm.START] * order + list(text.encode()) + [ppm.END]
+        for i in range(order, len(symbols)):
+            for k in range(order + 1):
+                seen.setdefault(tuple(symbols[i - k : i]), Counter())[symbols[i]] += 1
+    return seen
+
+
+def naive_score(seen, text, order):
+    total, symbols = 0.0, [ppm.START] * order + list(text.encode()) + [ppm.END]
+    for i in range(order, len(symbols)):
+        out: set = set()
+        for k in range(order, -1, -1):
+            counts = seen.get(tuple(symbols[i - k : i]))
+            if counts is None:
+                continue
+            left = {s: n for s, n in counts.items() if s not in out}
+            whole = sum(left.values()) + len(left)
+            if symbols[i] in left:
+                total += math.log10(left[symbols[i]] / whole)
+                break
+            if left:
+                total += math.log10(len(left) / whole)
+            out |= counts.keys()
+        else:
+            total -= math.log10(ppm.SYMBOLS - len(out))
+    return total
+
+
+def naive_repeats(text):
+    words = text.split()
+    windows = Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
+    covered = set()
+    for i in range(len(words) - 7):
+        if windows[tuple(words[i : i + 8])] > 1:
+            covered.update(range(i, i + 8))
+    return len(covered)
+
+
+def test_base_counts_equal_a_plain_count():
+    rng = random.Random(2)
+    texts = [*TEXTS, "a\na\n \n\na\nb #*<", "\n".join(["one two three"] * 9)]
+    texts += [" ".join(rng.choice("ab") for _ in range(40)) for _ in range(30)]
+    found = fertility.base_counts(*arrays(texts))
+    for i, text in enumerate(texts):
+        text = text or ""
+        words = [w for w in text.translate({9: 32, 10: 32}).split(" ") if w]
+        lines = [line for line in text.split("\n") if line.strip(" \t")]
+        assert found["n_words"][i] == len(words)
+        assert found["word_chars"][i] == sum(map(len, words))
+        assert found["n_symbols"][i] == sum(c in "#*$%&|<>" for c in text)
+        assert found["n_dup_lines"][i] == len(lines) - len(set(lines))
+        if "\x1c" not in text:
+            assert found["n_repeat_words"][i] == naive_repeats(text)
+
+
+def test_gradients_equal_differences():
+    net = langid.Network.new(["a", "b", "c"])
+    net.w = {k: v.astype(np.float64) for k, v in net.w.items()}
+    rng = np.random.default_rng(0)
+    x = rng.integers(97, 110, (9, 5)).astype(np.uint8)
+    mask = np.ones((9, 5))
+    mask[6:, 2] = 0
+    label = np.array([0, 1, 2, 1, 0])
+
+    def loss():
+        p = net.probabilities(x)
+        return -(np.log(p[:, np.arange(5), label]) * mask).sum() / mask.sum()
+
+    grads = net.gradients(x, mask, label)
+    for name, weight in net.w.items():
+        at = (int(x[3, 1]), 5) if name.startswith("in_") else (0,) * weight.ndim
+        kept, step = weight[at], 1e-5
+        weight[at] = kept + step
+        above = loss()
+        weight[at] = kept - step
+        below = loss()
+        weight[at] = kept
+        assert (above - below) / (2 * step) == pytest.approx(grads[name][at], abs=1e-6)
+
+
+def test_ftrl_finds_the_word_that_matters():
+    rng = random.Random(4)
+    rows = []
+    for i in range(120):
+        words = [f"w{rng.randrange(60)}" for _ in range(30)]
+        if i % 3 == 0:
+            words[rng.randrange(30)] = "zounds"
+        text, places = toxicity.features(*arrays([" ".join(words)]))
+        rows.append((np.unique(places), int(i % 3 == 0)))
+    at, weight = toxicity.train(rows)
+    _, bad = toxicity.features(*arrays(["zounds"]))
+    found = dict(zip(at.tolist(), weight.tolist(), strict=True))
+    assert found[int(bad[0])] > 0.5
+    assert len(at) < len(np.unique(np.concatenate([places for places, _ in rows]))) / 5
+    assert len(toxicity.train([])[0]) == 1
+
+
+def brute_jaccard(a, b):
+    n, m = sum(a.values()), sum(b.values())
+    total = 0.0
+    for d in a.keys() & b.keys():
+        x, y = a[d] / n, b[d] / m
+        total += 1 / sum(max(a[e] / n / x, b[e] / m / y) for e in a.keys() | b.keys())
+    return total
+
+
+def test_probability_jaccard_and_its_estimate():
+    rng = random.Random(1)
+    for _ in range(20):
+        a, b = (Counter(rng.choices(range(40), k=60)) for _ in range(2))
+        pack = [np.array(sorted(c)) for c in (a, b)]
+        counts = [np.array([c[k] for k in sorted(c)]) for c in (a, b)]
+        exact = neardup.probability_jaccard(pack[0], counts[0], pack[1], counts[1])
+        assert exact == pytest.approx(brute_jaccard(a, b))
+    agreed, n = 0, 60
+    for seed in range(n):
+        hashes = [neardup.mix(np.array(p, np.uint64) + np.uint64(1000 * seed)) for p in pack]
+        rows = [
+            neardup.signatures(np.zeros(len(h), int), h, c, 1)[0]
+            for h, c in zip(hashes, counts, strict=True)
+        ]
+        agreed += (rows[0] == rows[1]).mean()
+    assert agreed / n == pytest.approx(exact, abs=0.03)
+
+
+def test_shingles_of_short_and_long_texts():
+    owner, hashes, counts = neardup.shingles(*arrays(["a b c d e a b c d e a", "a b", "b a", "", None]))
+    assert Counter(owner.tolist()) == {0: 5, 1: 1, 2: 1}
+    assert counts[owner == 0].sum() == 7
+    assert hashes[owner == 1] != hashes[owner == 2]
+
+
+def test_tiles_lose_no_pair():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(200, 24)) * np.linspace(3, 0.1, 24)
+    x[50:100] = x[:50] + rng.normal(size=(50, 24)) * 0.02
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    rows, columns, cosine = compare_tiles(x[:120], x[80:], 0.98)
+    expected = {(i, j) for i, j in np.argwhere(x[:120] @ x[80:].T >= 0.98)}
+    assert {*zip(rows.tolist(), columns.tolist(), strict=True)} >= expected
+    assert forest(np.array([0, 1, 0]), np.array([1, 2, 2]), 3) == [0, 1]
