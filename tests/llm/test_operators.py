@@ -18,6 +18,7 @@ import __spark_entry__ as contract
 import corpus_pipeline
 from barloom.llm import queries
 from barloom.llm.common import documents
+from barloom.llm.components import components
 from barloom.llm.embdedup import near_duplicate_vectors
 from barloom.llm.fertility import quality_rules
 from barloom.llm.langid import detect_languages
@@ -324,3 +325,19 @@ def test_digests_of_the_bpe_query(spark):
     assert len(found) == len(texts)
     for r in found:
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_components_of_chains_stars_and_cycles(spark):
+    rng = random.Random(12)
+    edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 120)] + [(200, 201), (201, 200)]
+    edges += [(rng.randrange(300, 400), rng.randrange(300, 400)) for _ in range(60)] + [(500, 500)]
+    rng.shuffle(edges)
+    low = {i: i for edge in edges for i in edge}
+    for _ in range(len(low)):
+        for a, b in edges:
+            low[a] = low[b] = min(low[a], low[b])
+    table = spark.createDataFrame(edges, "a long, b long")
+    found = {r.node: r.component for r in components(table).collect()}
+    alone = {i for i in low if all(a == b for a, b in edges if i in (a, b))}
+    assert found == {i: c for i, c in low.items() if i not in alone}
+    assert components(table.where("a < 0")).isEmpty()
