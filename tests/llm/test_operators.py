@@ -341,3 +341,20 @@ def test_components_of_chains_stars_and_cycles(spark):
     alone = {i for i in low if all(a == b for a, b in edges if i in (a, b))}
     assert found == {i: c for i, c in low.items() if i not in alone}
     assert components(table.where("a < 0")).isEmpty()
+
+
+def test_quality_bands_reach_rare_languages_and_sparse_lengths(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 6)))
+    text = lambda n, mark="": " ".join(word() + mark for _ in range(n))
+    rows = [(i, text(rng.randint(60, 500)), "en") for i in range(300)]
+    rows += [(1000 + i, text(rng.randint(60, 500)), "fi") for i in range(4)]
+    rows += [(2000, text(200), None), (2001, text(1200), "en"), (2002, text(1300), "en")]
+    clean = len(rows)
+    # A rare language, one of its own, none, and a length that few texts have.
+    junk = [(200, "fi"), (200, "sw"), (200, None), (800, "en")]
+    rows += [(3000 + i, text(n, "%%%"), lang) for i, (n, lang) in enumerate(junk)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r.doc_id: r.kept for r in quality_rules(docs, PIECES, keep=["doc_id"]).collect()}
+    assert not any(found[i] for i, _, _ in rows[clean:])
+    assert all(found[i] for i, _, _ in rows[:clean])
