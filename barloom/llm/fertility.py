@@ -25,13 +25,13 @@ from barloom.llm.common import SPACE, keyed, mix, span_hashes, steps, stored, ut
 
 #: Words in a window that counts as repeated.
 WINDOW = 8
-#: Bands are this many deviations wide.
-ENTROPY_WIDTH, CHARS_WIDTH, BYTES_WIDTH = 3.5, 10.0, 15.0
+#: Bands are this many deviations wide; the README gives what they reject.
+ENTROPY_WIDTH, CHARS_WIDTH, BYTES_WIDTH = 4.0, 6.0, 5.0
 #: Measures with a band (characters per token as a logarithm): the least deviation, the
 #: deviation where nothing is known, what groups then differ by, and drift per octave.
 BANDED = {
-    "entropy": (0.15, 0.15, 0.15, 0.05),
-    "log_chars": (0.03, 0.04, 0.1, 0.01),
+    "entropy": (0.02, 0.15, 0.15, 0.05),
+    "log_chars": (0.005, 0.04, 0.1, 0.01),
     "byte_share": (0.02, 0.02, 0.1, 0.01),
 }
 #: Texts that what is known from further away counts for: next to the texts of one length
@@ -198,10 +198,11 @@ def _variances(found: list) -> dict[str, list[float]]:
         own = n[octave == o].sum()
         near = np.minimum(n, ENOUGH) * FADE ** np.abs(octave - o) * (octave != o)
         far = near @ np.abs(octave - o) / near.sum() if near.sum() else 0.0
-        w = near + np.where(octave == o, n, 0)
         for v, (_, usual, _, drift) in BANDED.items():
             var = np.array([_variance(row[v]) for row in found])
-            pooled = (w @ var + PRIOR_TEXTS * usual**2) / (w.sum() + PRIOR_TEXTS)
+            prior = (near @ var + PRIOR_TEXTS * usual**2) / (near.sum() + PRIOR_TEXTS)
+            ours = min(var[octave == o].sum(), WIDEST * prior)
+            pooled = (own * ours + ENOUGH * prior) / (own + ENOUGH)
             out[v].append(float(pooled + PRIOR_TEXTS / (own + PRIOR_TEXTS) * (far * drift) ** 2))
     return out
 

@@ -358,3 +358,16 @@ def test_quality_bands_reach_rare_languages_and_sparse_lengths(spark):
     found = {r.doc_id: r.kept for r in quality_rules(docs, PIECES, keep=["doc_id"]).collect()}
     assert not any(found[i] for i, _, _ in rows[clean:])
     assert all(found[i] for i, _, _ in rows[:clean])
+
+
+def test_quality_bands_of_characters_and_bytes_reject(spark):
+    rng = random.Random(9)
+    make = lambda letters: "".join(rng.choice(letters) for _ in range(rng.randint(3, 6)))
+    rows = [(i, " ".join(make("abcdefgh") for _ in range(rng.randint(100, 400))), "en") for i in range(300)]
+    odd = [make("abcdefgh") if i % 6 else "ༀ" for i in range(200)]
+    rows += [(300, " ".join(make("qxzjkvwy") for _ in range(200)), "en"), (301, " ".join(odd), "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r.doc_id: r for r in quality_rules(docs, PIECES, keep=["doc_id"]).collect()}
+    assert 0.1 < found[301].byte_share < 0.3
+    assert not found[300].kept and not found[301].kept
+    assert all(found[i].kept for i in range(300))
