@@ -169,15 +169,21 @@ def windows(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarra
 
 
 def language_sample(docs: DataFrame, learn: Column) -> DataFrame:
-    """About ``EACH`` documents of every language, ``ALL`` at most; by a hash of the id."""
+    """About ``EACH`` documents of every language, ``ALL`` at most; by a hash of the id.
+
+    If ``ALL`` is too few for that, every language gets an equal part of it.
+    """
     known = docs.filter(learn & F.col("lang").isNotNull() & (F.length("text") > 0))
     slim = known.select("doc_id", "lang", F.xxhash64("doc_id").alias("_order"))
     counts = stored(slim.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")), "languages")
-    share = F.lit(float(EACH)) / F.col("_n") * float(1 << 63)
+    each = min(float(EACH), ALL / max(1, counts.count()))
+    # A document's place among those of its language, as far as the hash tells.
+    place = F.abs(F.shiftright("_order", 1)) * 2.0 / float(1 << 63) * F.col("_n")
     chosen = stored(
         slim.join(counts, "lang")
-        .filter(F.abs(F.shiftright("_order", 1)) * 2.0 <= share)
-        .orderBy("_order", "doc_id", "lang")
+        .withColumn("_place", place)
+        .filter(F.col("_place") <= each)
+        .orderBy("_place", "doc_id", "lang")
         .limit(ALL)
         .select("doc_id", "_order")
         .distinct(),
