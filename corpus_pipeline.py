@@ -30,12 +30,16 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language; those without one get the one they are in.
 
     Rejected are texts without a letter, and those that are surely in another language
-    than is stated.
+    than is stated. If no document has a language, none can be learned: all texts with a
+    letter are kept, and their language stays null.
     """
     found = detect_languages(docs, F.lit(True), F.struct(*docs.columns))
-    other = (F.col("id.lang") != F.col("lang_pred")) & (F.col("score") >= DOUBT)
-    kept = found.filter((F.col("lang_pred") != UNKNOWN) & ~F.coalesce(other, F.lit(False)))
-    filled = F.coalesce("id.lang", "lang_pred").alias("lang")
+    letter = F.coalesce(F.col("id.text").rlike(r"\p{L}"), F.lit(False))
+    # Of a text with a letter, ``UNKNOWN`` says that nothing was learned.
+    said = F.when(F.col("lang_pred") != UNKNOWN, F.col("lang_pred"))
+    other = (F.col("id.lang") != said) & (F.col("score") >= DOUBT)
+    kept = found.filter(letter & ~F.coalesce(other, F.lit(False)))
+    filled = F.coalesce("id.lang", said).alias("lang")
     return kept.select(*(filled if c == "lang" else F.col("id")[c].alias(c) for c in docs.columns))
 
 

@@ -6,6 +6,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from barloom.llm import langid
 
 
@@ -25,3 +26,10 @@ def test_every_language_keeps_its_part_of_the_sample(spark, monkeypatch):
     found = Counter(r.lang for r in sample.select("lang").collect())
     assert sum(found.values()) <= 1200 and set(found) == set(sizes)
     assert all(5 <= n <= 45 for n in found.values())
+
+
+def test_the_pipeline_keeps_a_corpus_without_languages(spark):
+    texts = [(1, "words of a text"), (2, "12 34"), (3, None), (4, "")]
+    docs = spark.createDataFrame([(i, t, None) for i, t in texts], "doc_id long, text string, lang string")
+    found = corpus_pipeline.language(spark, docs, "")
+    assert [tuple(r) for r in found.collect()] == [(1, "words of a text", None)]
