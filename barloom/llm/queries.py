@@ -12,6 +12,7 @@ from barloom.llm.fertility import quality_rules
 from barloom.llm.langid import detect_languages
 from barloom.llm.neardup import near_duplicates
 from barloom.llm.packing import pack_documents
+from barloom.llm.patterns import pack_whole
 from barloom.llm.ppm import score_documents
 from barloom.llm.sharding import shard_documents
 from barloom.llm.simple8b import token_files
@@ -112,3 +113,10 @@ def op9_quality_rules(spark, sf_dir):
 def op10_sharding(spark, sf_dir):
     """24 shards of near equal size, equal texts together."""
     return shard_documents(documents(spark, sf_dir))
+
+
+@query
+def op13_pattern_packing(spark, sf_dir):
+    """Every text in sequences of 2,048 tokens, whole where it fits."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return pack_whole(documents(spark, sf_dir), path, 0, with_ids=False)
