@@ -13,6 +13,7 @@ from barloom.llm.langid import detect_languages
 from barloom.llm.neardup import near_duplicates
 from barloom.llm.packing import pack_documents
 from barloom.llm.patterns import pack_whole
+from barloom.llm.periodic import periodic_runs
 from barloom.llm.ppm import score_documents
 from barloom.llm.sharding import shard_documents
 from barloom.llm.simple8b import token_files
@@ -115,6 +116,51 @@ def op10_sharding(spark, sf_dir):
     return shard_documents(documents(spark, sf_dir))
 
 
+def _with_planted_runs(docs):
+    """Texts of a tenth of the documents, whose words from one on repeat the first of them."""
+    code = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    draw = F.call_function("div", code, F.lit(10))
+    words = F.when(code % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    rows = docs.select("doc_id", "text", words.alias("words"), draw.alias("draw"))
+    rows = rows.withColumn("n", F.size("words").cast("long"))
+    rows = rows.withColumn("a", F.col("draw") % F.greatest("n", F.lit(1)))
+    rest = F.col("n") - F.col("a")
+    rows = rows.withColumn("p", 1 + F.call_function("div", rest, 3 + F.col("draw") % 8))
+    part = lambda start, length: F.slice("words", start.cast("int"), length.cast("int"))
+    times = F.call_function("div", rest, F.col("p")) + 1
+    tail = F.flatten(F.array_repeat(part(F.col("a") + 1, F.col("p")), times.cast("int")))
+    planted = F.slice(F.concat(part(F.lit(1), F.col("a")), tail), F.lit(1), F.col("n").cast("int"))
+    text = F.when(F.col("n") > 0, F.concat_ws(" ", planted)).otherwise(F.col("text"))
+    return rows.select("doc_id", text.alias("text"))
+
+
+@query
+def op12_periodic_runs(spark, sf_dir):
+    """Runs of repeated words in every text, planted ones among them, and their digests."""
+    found = periodic_runs(_with_planted_runs(documents(spark, sf_dir)))
+    # The greatest exact exponent first; runs are in order of start and period.
+    better = lambda a, b: a["length"] * b["period"] - b["length"] * a["period"]
+    order = lambda a, b: F.when(better(a, b) != 0, -F.signum(better(a, b)).cast("int")).otherwise(
+        F.when(a["start"] != b["start"], F.signum(a["start"] - b["start"]).cast("int")).otherwise(
+            F.signum(a["period"] - b["period"]).cast("int")
+        )
+    )
+    best = F.get(F.array_sort("runs", order), F.lit(0))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    lines = F.transform("runs", lambda r: F.concat(line(r), F.lit("\n")))
+    rows = found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best.alias("best"),
+        F.sha2(F.concat_ws("", lines), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+    milli = F.call_function("div", 1000 * F.col("best.length"), F.col("best.period"))
+    return rows.select(
+        "doc_id", "n_runs", "best.*", milli.alias("exponent_milli"), "runs_sha256", "collapsed_sha256"
+    )
+
+
 @query
 def op13_pattern_packing(spark, sf_dir):
     """Every text in sequences of 2,048 tokens, whole where it fits."""
