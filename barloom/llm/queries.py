@@ -15,6 +15,7 @@ from barloom.llm.packing import pack_documents
 from barloom.llm.patterns import pack_whole
 from barloom.llm.periodic import periodic_runs
 from barloom.llm.ppm import score_documents
+from barloom.llm.repair import conversation_digests, repair_conversations
 from barloom.llm.sharding import shard_documents
 from barloom.llm.simple8b import token_files
 from barloom.llm.toxicity import toxicity
@@ -116,6 +117,31 @@ def op10_sharding(spark, sf_dir):
     return shard_documents(documents(spark, sf_dir))
 
 
+def _damaged(conversations):
+    """Turns with faults planted by their numbers; a null is one space. ``there`` is false
+    for a turn that is dropped."""
+    blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    name = F.concat(blank("conv_id"), F.lit(":"), blank("turn"))
+    code = F.crc32(name.cast("binary")) % 20
+    text = F.when(code == 1, "").when(code == 2, F.regexp_replace(blank("text"), "[.!?]", ""))
+    times = F.when(code == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return conversations.select(
+        "conv_id",
+        "turn",
+        F.when(code == 4, "user").otherwise(blank("role")).alias("role"),
+        text.otherwise(blank("text")).alias("text"),
+        (code != 0).alias("there"),
+        F.explode(times).alias("time"),
+    )
+
+
+@query
+def op11_conversation_repair(spark, sf_dir):
+    """The cheapest repair of every conversation after planted damage, as digests."""
+    turns = _damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return conversation_digests(repair_conversations(turns, present=F.col("there")))
+
+
 def _with_planted_runs(docs):
     """Texts of a tenth of the documents, whose words from one on repeat the first of them."""
     code = F.crc32(F.col("doc_id").cast("string").cast("binary"))
