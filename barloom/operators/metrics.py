@@ -64,15 +64,19 @@ def merge_rollups(rollups: DataFrame, by: Sequence[str], *, scale: int | None =
     )
 
 
-def merge_both(rollups: DataFrame, *, scale: int | None = None) -> DataFrame:
+def merge_both(
+    rollups: DataFrame, *, within: Sequence[str] = (), scale: int | None = None
+) -> DataFrame:
     """The daily rollup merged per symbol and per date, in one pass over it.
 
-    ``level`` says which of the two a row is.
+    ``level`` says which of the two a row is. ``within`` names columns that both are kept
+    apart by, such as the month.
     """
     counts = ("n_open", "n_close", "n_volume", "n_symbol", "data_points")
     # Copies of the group columns: a grouping set nulls the ones it leaves out.
     keyed = rollups.withColumns({"_symbol": F.col("symbol")})
-    return keyed.groupingSets([["symbol"], ["date"]], "symbol", "date").agg(
+    sets = [["symbol", *within], ["date", *within]]
+    return keyed.groupingSets(sets, "symbol", "date", *within).agg(
         F.when(F.grouping("symbol") == 0, "symbol").otherwise("date").alias("level"),
         *ExactSum("open", scale).merge(),
         *ExactSum("close", scale).merge(),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from dataclasses import dataclass
 
 from barloom.sources.tables import FILE_FORMATS
@@ -24,6 +25,9 @@ class Lake:
     key: tuple[str, ...] = ("symbol", "datetime")
     # Pretty-printed documents: one document over all lines of a file.
     multi_line: bool = False
+    # How long folders stay that a rebuild or a compaction has replaced, for readers that
+    # have begun on them. A later run removes them.
+    retention: datetime.timedelta = datetime.timedelta(days=1)
 
     def __post_init__(self) -> None:
         if self.fmt not in FILE_FORMATS:
@@ -59,17 +63,27 @@ class Lake:
 
     @property
     def pending(self) -> str:
-        """Files found but not yet ingested by the run in progress."""
+        """The backlog of the run in progress, if it is more than one batch's files."""
         return self._below("pending")
 
     @property
     def files(self) -> str:
-        """The files that each finished batch covers."""
+        """The versions of files that each finished batch covers."""
         return self._below("files")
 
+    @property
+    def superseded(self) -> str:
+        """Files of which a batch has read a later version than batches before it."""
+        return self._below("superseded")
+
+    @property
+    def retired(self) -> str:
+        """Folders that are to be removed, and since when."""
+        return self._below("retired")
+
     @property
     def runs(self) -> str:
-        """Finished batches: their months and numbers of bars."""
+        """Finished batches: the months and numbers of bars of their files."""
         return self._below("runs")
 
     @property

@@ -1,22 +1,24 @@
 """The batch jobs: documents to silver, silver to gold.
 
-Silver is written in *generations*. A rebuild from all documents writes a new one, as
-batch 0, and readers switch to it when its record, written last, is there: what was
+Silver is written in *generations*. A rebuild from all documents writes a new one, in
+batches from 0, and readers switch to it when its record, written last, is there: what was
 deleted or repaired in bronze is then gone from silver and quarantine too. Batches that
 ``streaming.ingest_new`` adds belong to the generation that is current. A batch that
 runs again replaces its own folder, and reading silver keeps the newest copy of each
-bar, so no run can count a bar twice.
+bar, so no run can count a bar twice. Folders that a rebuild or a compaction replaces
+stay for ``Lake.retention``, so that readers which have begun on them can finish.
 
-Finished batches are recorded in small tables: the files they cover, and the months
-they have bars in. What is new is found there, not by reading silver.
+Either job lists bronze once. Exactly the file versions of that listing are read, by
+their paths, and recorded as covered (see ``plans.ledger``): a file that lands or changes
+meanwhile is new to the next run.
 """
 
 from __future__ import annotations
 
 import datetime
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.operators.bars import (
@@ -33,13 +35,31 @@ from barloom.operators.metrics import (
     finish_market,
     finish_symbol,
     merge_both,
+    merge_rollups,
 )
 from barloom.operators.quality import REJECTED, quarantined, with_reason
 from barloom.plans.lake import Lake
+from barloom.plans.ledger import (
+    BATCH,
+    GENERATION,
+    GENERATIONAL,
+    PENDING_DDL,
+    batch_folder,
+    clear_generation,
+    current_generation,
+    generation_folder,
+    listed_versions,
+    newest_batch,
+    open_generation,
+    read_runs,
+    record_run,
+    retire,
+    sweep,
+    without_superseded,
+)
 from barloom.schemas import QUARANTINE_DDL, SILVER_DDL
-from barloom.sources.documents import list_documents, read_documents
+from barloom.sources.documents import read_documents
 from barloom.sources.tables import (
-    append_table,
     read_if_written,
     read_table,
     remove_folder,
@@ -47,18 +67,17 @@ from barloom.sources.tables import (
     replace_table,
 )
 
-GENERATION = "generation"
-BATCH = "ingest_batch"
 ROLLUP = "daily_rollup"
+# Per month: a rollup of each symbol, and of each of its dates.
+MONTHS = "month_rollup"
 # Which generation and batch gold is up to date with; replaced after each refresh.
 PROGRESS = "progress"
 PROGRESS_DDL = "generation int, ingest_batch int"
-GENERATIONS_DDL = "generation int"
-FILES_DDL = "path string, ingest_batch int, generation int"
-RUNS_DDL = "month date, bars bigint, ingest_batch int, generation int"
 SILVER_ORDER = ("symbol", "datetime")
 # Months that a refresh names one by one; if more changed, gold is rebuilt.
 MAX_MONTHS = 1_200
+# Bytes and files of one batch, if the caller does not say otherwise.
+MAX_BYTES, MAX_FILES = 256 * 2**30, 10_000
 
 
 def silver_bars(documents: DataFrame, processed_at: Column | None = None) -> DataFrame:
@@ -67,26 +86,6 @@ def silver_bars(documents: DataFrame, processed_at: Column | None = None) -> Dat
     return with_processed_at(bars, processed_at)
 
 
-def generation_folder(path: str, generation: int) -> str:
-    return f"{path}/{GENERATION}={generation}"
-
-
-def batch_folder(path: str, generation: int, batch: int) -> str:
-    return f"{generation_folder(path, generation)}/{BATCH}={batch}"
-
-
-def current_generation(spark: SparkSession, lake: Lake) -> int | None:
-    """The last generation that was finished; None if there is none."""
-    known = read_if_written(spark, lake.generations, fmt=lake.fmt, schema=GENERATIONS_DDL)
-    return None if known is None else known.agg(F.max(GENERATION)).first()[0]
-
-
-def open_generation(spark: SparkSession, lake: Lake, generation: int) -> None:
-    """Let readers switch to a generation; one appended row, the last act of a rebuild."""
-    row = spark.createDataFrame([(generation,)], GENERATIONS_DDL)
-    append_table(row.coalesce(1), lake.generations, fmt=lake.fmt)
-
-
 def write_silver_batch(bars: DataFrame, lake: Lake, generation: int, batch: int) -> None:
     replace_table(
         bars,
@@ -104,48 +103,18 @@ def write_quarantine_batch(
     batch: int,
     processed_at: Column | None = None,
 ) -> None:
+    """Replace a batch's defects. ``documents`` are all defective; mostly there are none."""
+    path = batch_folder(lake.quarantine, generation, batch)
+    if documents.isEmpty():
+        remove_folder(documents.sparkSession, path)
+        return
     rows = with_processed_at(quarantined(documents), processed_at)
-    replace_table(rows, batch_folder(lake.quarantine, generation, batch), fmt=lake.fmt)
-
-
-def record_run(
-    spark: SparkSession, lake: Lake, generation: int, batch: int, files: DataFrame | None
-) -> None:
-    """Record a finished batch: its months, then the files it covers.
-
-    A month's bars are counted in the batch's own folder. The batch itself has a row
-    without bars, so that one without any is known too.
-    """
-    bars = read_table(
-        spark, batch_folder(lake.silver, generation, batch), fmt=lake.fmt, schema=SILVER_DDL
-    )
-    months = bars.groupBy("month").agg(F.count(F.lit(1)).alias("bars"))
-    marker = spark.createDataFrame([(None, 0)], "month date, bars bigint")
-    rows = months.unionByName(marker).coalesce(1)
-    replace_table(rows, batch_folder(lake.runs, generation, batch), fmt=lake.fmt)
-    if files is not None:
-        replace_table(
-            files.select("path"), batch_folder(lake.files, generation, batch), fmt=lake.fmt
-        )
-
-
-def read_runs(spark: SparkSession, lake: Lake, generation: int) -> DataFrame:
-    """``month``, ``bars`` and ``ingest_batch`` of the finished batches of a generation."""
-    runs = read_table(spark, lake.runs, fmt=lake.fmt, schema=RUNS_DDL)
-    return runs.where(F.col(GENERATION) == generation).drop(GENERATION)
-
-
-def newest_batch(spark: SparkSession, lake: Lake, generation: int) -> int | None:
-    known = read_if_written(spark, lake.runs, fmt=lake.fmt, schema=RUNS_DDL)
-    if known is None:
-        return None
-    return known.where(F.col(GENERATION) == generation).agg(F.max(BATCH)).first()[0]
+    replace_table(rows, path, fmt=lake.fmt)
 
 
 def write_batch(
     spark: SparkSession,
-    raw: DataFrame,
-    files: DataFrame,
+    files: Sequence[Row],
     lake: Lake,
     generation: int,
     batch: int,
@@ -153,12 +122,15 @@ def write_batch(
     processed_at: Column | None = None,
     merge_copies: bool = False,
 ) -> None:
-    """Documents to one batch of silver and quarantine, and its record.
+    """The documents of some files to one batch of silver and quarantine, and its record.
 
     The JSON is parsed once, into a columnar table partitioned by defect; bars
     and quarantine are both read from that table, each only the folders and
     columns it needs. A lost executor costs its tasks, not the parsing.
     """
+    raw = read_documents(
+        spark, [row.path for row in files], glob=lake.glob, multi_line=lake.multi_line
+    )
     tagged = with_reason(raw).withColumn("reason", F.coalesce("reason", F.lit("none")))
     replace_table(
         tagged, lake.documents, fmt=lake.fmt, partition_by=("reason",), rebalance=False
@@ -174,41 +146,80 @@ def write_batch(
     record_run(spark, lake, generation, batch, files)
 
 
+def file_batches(
+    found: DataFrame, lake: Lake, max_bytes: int, max_files: int
+) -> Iterator[list[Row]]:
+    """File versions in order of their paths, one batch after another.
+
+    ``found`` is evaluated once. No more than ``max_files`` rows are on the driver at a
+    time; a longer backlog is written down first.
+    """
+    rows = found.limit(max_files + 1).collect()
+    pending = None
+    if len(rows) > max_files:
+        replace_table(found, lake.pending, fmt=lake.fmt)
+        pending = read_table(found.sparkSession, lake.pending, fmt=lake.fmt, schema=PENDING_DDL)
+        rows = pending.orderBy("path").limit(max_files).collect()
+    while rows:
+        batch, size = [], 0
+        for row in sorted(rows, key=lambda row: row.path):
+            if batch and size + row.length > max_bytes:
+                yield batch
+                batch, size = [], 0
+            batch.append(row)
+            size += row.length
+        yield batch
+        if pending is None:
+            return
+        rest = pending.where(F.col("path") > batch[-1].path)
+        rows = rest.orderBy("path").limit(max_files).collect()
+
+
 def bronze_to_silver(
-    spark: SparkSession, lake: Lake, *, processed_at: Column | None = None
+    spark: SparkSession,
+    lake: Lake,
+    *,
+    max_bytes_per_batch: int = MAX_BYTES,
+    max_files_per_batch: int = MAX_FILES,
+    processed_at: Column | None = None,
 ) -> bool:
     """Rebuild silver from all documents. Returns False if there are none.
 
     The rebuild is a new generation, which nobody reads before it is complete. The one
-    before it is then removed, so bars are stored once.
+    before it is retired then.
     """
-    raw = read_documents(spark, lake.bronze, glob=lake.glob, multi_line=lake.multi_line)
-    if raw.isEmpty():
-        return False
+    sweep(spark, lake)
     before = current_generation(spark, lake)
     generation = 0 if before is None else before + 1
-    # Files are listed before they are read: one that lands meanwhile is ingested later.
-    replace_table(
-        list_documents(spark, lake.bronze, glob=lake.glob).select("path"), lake.pending, fmt=lake.fmt
-    )
-    files = read_table(spark, lake.pending, fmt=lake.fmt, schema="path string")
-    write_batch(
-        spark, raw, files, lake, generation, 0, processed_at=processed_at, merge_copies=True
-    )
+    found = listed_versions(spark, lake).withColumn("earlier", F.lit(False))
+    batch = -1
+    for files in file_batches(found, lake, max_bytes_per_batch, max_files_per_batch):
+        if batch < 0:
+            if len(files) < max_files_per_batch and not any(row.length for row in files):
+                return False
+            clear_generation(spark, lake, generation)
+        batch += 1
+        write_batch(
+            spark, files, lake, generation, batch, processed_at=processed_at, merge_copies=True
+        )
+    if batch < 0:
+        return False
     open_generation(spark, lake, generation)
     if before is not None:
-        for path in (lake.silver, lake.quarantine, lake.runs, lake.files):
-            remove_folder(spark, generation_folder(path, before))
+        tables = (getattr(lake, name) for name in GENERATIONAL)
+        retire(spark, lake, [generation_folder(path, before) for path in tables])
     return True
 
 
 def _stored_silver(spark: SparkSession, lake: Lake) -> DataFrame | None:
-    """Silver of the current generation as stored, with every copy of a bar."""
+    """Silver of the current generation with every copy of a bar, but none from a file's
+    earlier versions."""
     generation = current_generation(spark, lake)
     if generation is None:
         return None
     path = generation_folder(lake.silver, generation)
-    return read_if_written(spark, path, fmt=lake.fmt, schema=SILVER_DDL)
+    stored = read_if_written(spark, path, fmt=lake.fmt, schema=SILVER_DDL)
+    return None if stored is None else without_superseded(spark, lake, generation, stored)
 
 
 def read_silver(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -226,7 +237,8 @@ def read_trailing(spark: SparkSession, lake: Lake, code: str) -> DataFrame:
     """The last ``code`` ("5d", "1mo") of silver, counted from its newest bar.
 
     The newest time is taken from the stored rows of the newest month with bars, which
-    the records of the batches name: all copies of a bar have the same time.
+    the records of the batches name: all copies of a bar have the same time. Only if
+    later versions of files have emptied that month, all months are looked at.
     """
     stored = _stored_silver(spark, lake)
     if stored is None:
@@ -234,38 +246,71 @@ def read_trailing(spark: SparkSession, lake: Lake, code: str) -> DataFrame:
     runs = read_runs(spark, lake, current_generation(spark, lake))
     last = runs.where("bars > 0").agg(F.max("month")).first()[0]
     newest = stored.where(F.col("month") == F.lit(last)).agg(F.max("datetime")).first()[0]
+    if newest is None:
+        newest = stored.agg(F.max("datetime")).first()[0]
     return trailing(_newest(stored, lake), code, newest=F.lit(newest))
 
 
 def read_quarantine(spark: SparkSession, lake: Lake) -> DataFrame:
-    """Defective documents of the current generation, each as its last batch reported it."""
+    """Defective documents of the current generation, in their files' last versions."""
     generation = current_generation(spark, lake)
-    if generation is None:
+    stored = None
+    if generation is not None:
+        path = generation_folder(lake.quarantine, generation)
+        stored = read_if_written(spark, path, fmt=lake.fmt, schema=QUARANTINE_DDL)
+    if stored is None:
         return spark.createDataFrame([], QUARANTINE_DDL).drop(BATCH)
-    path = generation_folder(lake.quarantine, generation)
-    stored = read_table(spark, path, fmt=lake.fmt, schema=QUARANTINE_DDL)
-    # A file that landed while a rebuild read it is in two batches.
-    last = stored.groupBy("source_file").agg(F.max(BATCH).alias(BATCH))
-    return stored.join(last, ["source_file", BATCH], "left_semi").drop(BATCH)
+    return without_superseded(spark, lake, generation, stored).drop(BATCH)
+
 
+def fragmented_months(spark: SparkSession, lake: Lake, *, min_batches: int = 8) -> list:
+    """Months whose bars lie in at least ``min_batches`` batches, since they were last
+    compacted; ``MAX_MONTHS`` of them at most, the most fragmented ones."""
+    generation = current_generation(spark, lake)
+    if generation is None:
+        return []
+    runs = read_runs(spark, lake, generation).where("bars > 0")
+    since = F.coalesce(F.max(F.when(F.col("compacted"), F.col(BATCH))), F.lit(-1))
+    last = runs.groupBy(F.col("month").alias("_month")).agg(since.alias("_since"))
+    later = runs.join(
+        last, F.col("month").eqNullSafe(F.col("_month")) & (F.col(BATCH) >= F.col("_since"))
+    )
+    counts = later.groupBy("month").agg(F.count_distinct(BATCH).alias("batches"))
+    many = counts.where(F.col("batches") >= min_batches).orderBy(F.desc("batches"), "month")
+    return [row.month for row in many.limit(MAX_MONTHS).collect()]
 
-def compact_silver(spark: SparkSession, lake: Lake, months: Sequence[datetime.date]) -> None:
+
+def compact_silver(
+    spark: SparkSession, lake: Lake, months: Sequence[datetime.date | None]
+) -> None:
     """Bring all batches' bars of the given months together in one new batch.
 
-    The newest copies are written first, as a batch of their own, and the older folders
-    of these months removed then: at every moment reading silver gives the same bars.
+    Only the newest copies are written. The older folders of these months are retired: a
+    reader that still finds them prefers the new batch's copies, which are the same bars.
     """
+    sweep(spark, lake)
     generation = current_generation(spark, lake)
     if generation is None or not months:
         return
     batch = newest_batch(spark, lake, generation) + 1
-    # Read from the stored rows, and written before any of them is removed.
+    # From the records: every folder that has bars of these months.
+    runs = read_runs(spark, lake, generation).where(F.col("bars") > 0)
+    folders = runs.where(_in_months(months)).select(BATCH, "month").distinct().collect()
     bars = _newest(_stored_silver(spark, lake).where(_in_months(months)), lake)
     write_silver_batch(bars, lake, generation, batch)
     record_run(spark, lake, generation, batch, None)
-    for number in range(batch):
-        for month in months:
-            remove_folder(spark, f"{batch_folder(lake.silver, generation, number)}/month={month}")
+    retire(
+        spark,
+        lake,
+        [
+            f"{batch_folder(lake.silver, generation, row[BATCH])}/month={row.month or _NULL_FOLDER}"
+            for row in folders
+        ],
+    )
+
+
+# How a partitioned table names the folder of NULL.
+_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _newest(stored: DataFrame, lake: Lake) -> DataFrame:
@@ -289,13 +334,13 @@ def _in_months(months: Sequence[datetime.date | None]) -> Column:
 
 
 def changed_months(spark: SparkSession, lake: Lake, *, after_batch: int) -> list | None:
-    """Months that batches later than ``after_batch`` have bars in, from their records.
+    """Months that batches later than ``after_batch`` have changed, from their records.
 
-    None if there are more than ``MAX_MONTHS``: garbage times may name any month of
+    They have bars there, or have superseded a file that had. None if there are more than ``MAX_MONTHS``: garbage times may name any month of
     9,999 years.
     """
     runs = read_runs(spark, lake, current_generation(spark, lake))
-    later = runs.where((F.col(BATCH) > after_batch) & (F.col("bars") > 0))
+    later = runs.where((F.col(BATCH) > after_batch) & F.col("source_file").isNotNull())
     months = [row.month for row in later.select("month").distinct().limit(MAX_MONTHS + 1).collect()]
     return months if len(months) <= MAX_MONTHS else None
 
@@ -317,16 +362,19 @@ def _daily(rollups: DataFrame, processed_at: Column | None, scale: int | None) -
     return with_month(with_processed_at(finish_daily(rollups, scale=scale), processed_at))
 
 
+def _merge_months(rollups: DataFrame, scale: int | None) -> DataFrame:
+    """The level between days and all time: each month's symbols, and each month's dates."""
+    return merge_both(rollups, within=("month",), scale=scale)
+
+
 def _replace_all_time(
-    rollups: DataFrame, lake: Lake, processed_at: Column | None, scale: int | None
+    spark: SparkSession, lake: Lake, processed_at: Column | None, scale: int | None
 ) -> None:
-    """The tables that cover all symbols or dates, from one pass over the daily rollup."""
-    spark = rollups.sparkSession
-    path = lake.gold_table("all_time_rollup")
-    merged = merge_both(rollups, scale=scale)
-    replace_table(merged, path, fmt=lake.fmt)
-    stored = read_table(spark, path, fmt=lake.fmt, schema=merged.schema)
-    per_symbol, per_date = (stored.where(F.col("level") == name) for name in ("symbol", "date"))
+    """The tables that cover all symbols or dates, from the stored rollups of the months:
+    one row per symbol and month, or per date."""
+    stored = read_table(spark, lake.gold_table(MONTHS), fmt=lake.fmt)
+    per_month, per_date = (stored.where(F.col("level") == name) for name in ("symbol", "date"))
+    per_symbol = merge_rollups(per_month, ["symbol"], scale=scale)
     for name, frame in (
         ("symbol_metrics", finish_symbol(per_symbol, scale=scale)),
         ("market_metrics", finish_market(per_date, scale=scale)),
@@ -348,18 +396,20 @@ def silver_to_gold(
     Silver is read once, into the daily rollup. That table is written out, and
     the three metric tables are computed from it.
     """
+    # The batch is named before silver is read: what comes meanwhile is refreshed later.
+    generation = current_generation(spark, lake)
+    batch = None if generation is None else newest_batch(spark, lake, generation)
     silver = _stored_silver(spark, lake)
     if silver is None or silver.isEmpty():
         return False
-    generation = current_generation(spark, lake)
-    batch = newest_batch(spark, lake, generation)
     layout = {"fmt": lake.fmt, "partition_by": ("month",), "sort_by": ("symbol",)}
     rollups = with_month(daily_rollup(_newest(silver, lake), scale=scale))
     replace_table(rollups, lake.gold_table(ROLLUP), **layout)
     stored = read_table(spark, lake.gold_table(ROLLUP), fmt=lake.fmt)
     daily = _daily(stored, processed_at, scale)
     replace_table(daily, lake.gold_table("daily_metrics"), rebalance=False, **layout)
-    _replace_all_time(stored, lake, processed_at, scale)
+    replace_table(_merge_months(stored, scale), lake.gold_table(MONTHS), **layout)
+    _replace_all_time(spark, lake, processed_at, scale)
     _record_progress(spark, lake, generation, batch)
     return True
 
@@ -374,21 +424,39 @@ def refresh_gold(
 ) -> None:
     """Bring gold up to date after bars of the given months changed.
 
-    Only those months of silver are read and only those partitions of the
-    daily tables are replaced. The symbol and market tables cover all time and
-    are recomputed from the daily rollup, which holds one row per symbol and
-    date.
+    Only those months of silver are read, and only those partitions of the daily tables
+    and of the months' rollups are replaced; a month that has no bars any more loses its
+    partitions. The symbol and market tables cover all time; they are merged from the
+    months' rollups, with one row per symbol and month, not from the days.
     """
     if not months:
         return
     layout = {"fmt": lake.fmt, "partition_by": ("month",), "sort_by": ("symbol",)}
     silver = _stored_silver(spark, lake).where(_in_months(months))
     rollups = with_month(daily_rollup(_newest(silver, lake), scale=scale))
+    emptied = _emptied_months(spark, lake, months)
+    for name in (ROLLUP, "daily_metrics", MONTHS):
+        for month in emptied:
+            remove_folder(spark, f"{lake.gold_table(name)}/month={month or _NULL_FOLDER}")
     replace_partitions(rollups, lake.gold_table(ROLLUP), **layout)
-    stored = read_table(spark, lake.gold_table(ROLLUP), fmt=lake.fmt)
-    daily = _daily(stored.where(_in_months(months)), processed_at, scale)
+    stored = read_table(spark, lake.gold_table(ROLLUP), fmt=lake.fmt).where(_in_months(months))
+    daily = _daily(stored, processed_at, scale)
     replace_partitions(daily, lake.gold_table("daily_metrics"), rebalance=False, **layout)
-    _replace_all_time(stored, lake, processed_at, scale)
+    replace_partitions(_merge_months(stored, scale), lake.gold_table(MONTHS), **layout)
+    _replace_all_time(spark, lake, processed_at, scale)
+
+
+def _emptied_months(spark: SparkSession, lake: Lake, months: Sequence) -> list:
+    """Of the given months, those that later versions of files have left without a bar."""
+    runs = read_runs(spark, lake, current_generation(spark, lake))
+    lost = runs.where((F.col("bars") == 0) & F.col("source_file").isNotNull())
+    lost = lost.where(_in_months(months)).select("month").distinct()
+    candidates = [row.month for row in lost.collect()]
+    if not candidates:
+        return []
+    there = _stored_silver(spark, lake).where(_in_months(candidates)).select("month").distinct()
+    kept = {row.month for row in there.collect()}
+    return [month for month in candidates if month not in kept]
 
 
 def update_gold(

@@ -8,19 +8,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.schemas import DOCUMENT_DDL, RAW_TEXT
+from barloom.sources.tables import literal
 
 
 def list_documents(spark: SparkSession, path: str, *, glob: str = "*.json") -> DataFrame:
     """Path, time and size of every document file below ``path``.
 
-    ``content`` is not selected, so no file is opened.
+    ``source_file`` is the path as rows of documents name it. ``content`` is not
+    selected, so no file is opened.
     """
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", True)
-        .load(path)
-        .select("path", "modificationTime", "length")
+        .load(literal(path))
+        .select(
+            "path", "modificationTime", "length", F.col("_metadata.file_path").alias("source_file")
+        )
     )
 
 
@@ -55,12 +59,13 @@ def read_documents(
     """All documents below ``path``, a folder or a list of files, in one scan, one row per document.
 
     One document per line by default, so large files are split between tasks;
-    ``multi_line`` reads pretty-printed files, one whole file per task.
+    ``multi_line`` reads pretty-printed files, one whole file per task. Paths are taken
+    literally, whatever characters a file name has.
     """
     raw = (
         spark.read.schema(DOCUMENT_DDL)
         .options(**document_options(glob=glob, multi_line=multi_line))
-        .json(path)
+        .json(literal(path) if isinstance(path, str) else [literal(p) for p in path])
     )
     return with_provenance(raw)
 

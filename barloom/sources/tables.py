@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
@@ -20,6 +21,11 @@ class GoldTables(NamedTuple):
 FILE_FORMATS = ("parquet", "orc", "json")
 
 
+def literal(path: str) -> str:
+    """The pattern that only ``path`` itself matches: Spark's readers expand patterns."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def read_table(
     spark: SparkSession, path: str, *, fmt: str = "parquet", schema: str | StructType | None = None
 ) -> DataFrame:
@@ -28,7 +34,7 @@ def read_table(
     reader = spark.read.format(fmt)
     if schema is not None and fmt in FILE_FORMATS:
         reader = reader.schema(schema)
-    return reader.load(path)
+    return reader.load(literal(path))
 
 
 def read_if_written(

@@ -2,84 +2,47 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import Column, SparkSession
 
 from barloom.plans.lake import Lake
-from barloom.plans.medallion import (
-    FILES_DDL,
-    GENERATION,
+from barloom.plans.ledger import (
     current_generation,
+    new_versions,
     newest_batch,
     open_generation,
-    write_batch,
+    sweep,
 )
-from barloom.sources.documents import list_documents, read_documents
-from barloom.sources.tables import read_if_written, read_table, replace_table
-
-PENDING_DDL = "path string, length bigint"
-
-
-def new_files(spark: SparkSession, lake: Lake) -> DataFrame:
-    """Files that no batch of the current generation covers, whatever their time."""
-    listed = list_documents(spark, lake.bronze, glob=lake.glob).select("path", "length")
-    known = read_if_written(spark, lake.files, fmt=lake.fmt, schema=FILES_DDL)
-    if known is None:
-        return listed
-    covered = known.where(F.col(GENERATION) == current_generation(spark, lake))
-    return listed.join(covered, "path", "left_anti")
-
-
-def _batches(
-    pending: DataFrame, max_bytes: int, max_files: int
-) -> Iterator[list[str]]:
-    """Paths of one batch after another; only one batch's are on the driver at a time."""
-    last = None
-    while True:
-        rest = pending if last is None else pending.where(F.col("path") > last)
-        rows = rest.orderBy("path").limit(max_files).collect()
-        if not rows:
-            return
-        paths, size = [], 0
-        for row in rows:
-            if paths and size + row.length > max_bytes:
-                break
-            paths.append(row.path)
-            size += row.length
-        yield paths
-        last = paths[-1]
+from barloom.plans.medallion import MAX_BYTES, MAX_FILES, file_batches, write_batch
 
 
 def ingest_new(
     spark: SparkSession,
     lake: Lake,
     *,
-    max_bytes_per_batch: int = 256 * 2**30,
-    max_files_per_batch: int = 10_000,
+    max_bytes_per_batch: int = MAX_BYTES,
+    max_files_per_batch: int = MAX_FILES,
     processed_at: Column | None = None,
 ) -> list[int]:
-    """Ingest the files landed since the last run; returns the batches written.
+    """Ingest the files landed or changed since the last run; returns the batches written.
 
-    The listing is compared by path with the files that finished batches cover, so a
-    file counts as new however old it is, and is read once. A batch's files are recorded
-    last: one that failed half way is found again, and its folder replaced. The limits
-    keep a backlog from becoming one batch.
+    One listing is compared by path, time and size with the versions that finished
+    batches cover, so a file counts as new however old it is, and a version is read once.
+    A later version replaces the bars and defects of the earlier ones. A batch's files
+    are recorded last: one that failed half way is found again, and its folder replaced.
+    The limits keep a backlog from becoming one batch.
     """
-    generation = current_generation(spark, lake)
-    if generation is None:
-        generation = 0
-    replace_table(new_files(spark, lake), lake.pending, fmt=lake.fmt)
-    pending = read_table(spark, lake.pending, fmt=lake.fmt, schema=PENDING_DDL)
+    sweep(spark, lake)
+    current = current_generation(spark, lake)
+    generation = 0 if current is None else current
+    found = new_versions(spark, lake, generation)
+    # Batch 0 belongs to a full rebuild.
+    batch = newest_batch(spark, lake, generation) or 0
     written: list[int] = []
-    for paths in _batches(pending, max_bytes_per_batch, max_files_per_batch):
-        # Batch 0 belongs to a full rebuild.
-        batch = (newest_batch(spark, lake, generation) or 0) + 1
-        raw = read_documents(spark, paths, glob=lake.glob, multi_line=lake.multi_line)
-        files = pending.where(F.col("path").between(paths[0], paths[-1]))
-        write_batch(spark, raw, files, lake, generation, batch, processed_at=processed_at)
-        if current_generation(spark, lake) is None:
+    for files in file_batches(found, lake, max_bytes_per_batch, max_files_per_batch):
+        batch += 1
+        write_batch(spark, files, lake, generation, batch, processed_at=processed_at)
+        if current is None:
             open_generation(spark, lake, generation)
+            current = generation
         written.append(batch)
     return written

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime
 import json
 import os
@@ -17,11 +18,13 @@ from barloom.plans import (
     bronze_to_silver,
     changed_months,
     compact_silver,
+    fragmented_months,
     read_quarantine,
     read_silver,
     read_trailing,
     refresh_gold,
     silver_to_gold,
+    sweep,
     update_gold,
 )
 from barloom.plans import medallion
@@ -47,6 +50,12 @@ def closes(spark, lake):
     return sorted((r.symbol, int(r.datetime.replace(tzinfo=datetime.UTC).timestamp()), r.close) for r in rows)
 
 
+def swept(spark, lake):
+    """What is left when the retention has passed."""
+    assert sweep(spark, lake) == []
+    assert sweep(spark, dataclasses.replace(lake, retention=datetime.timedelta(0)))
+
+
 def gold_rows(spark, lake):
     gold = read_gold(spark, lake.gold)
     return [sorted(map(str, t.drop("processed_at").collect())) for t in gold]
@@ -72,7 +81,7 @@ def test_rebuilding_twice_gives_the_same_tables(spark, lake):
         bronze_to_silver(spark, lake)
         silver_to_gold(spark, lake)
         assert len(closes(spark, lake)) == 2
-        assert read_table(spark, lake.quarantine).count() == 1
+        assert read_quarantine(spark, lake).count() == 1
         daily, symbol, market = read_gold(spark, lake.gold)
         assert [r.data_points for r in daily.collect()] == [1, 1]
         assert symbol.first().total_data_points == 2
@@ -124,6 +133,7 @@ def test_rebuild_replaces_what_an_earlier_run_parsed(spark, lake, monkeypatch):
     first_run = read_quarantine(spark, lake).first()
     bronze_to_silver(spark, lake)
     assert closes(spark, lake) == [("A", JAN, 1.0)]
+    swept(spark, lake)
     assert read_table(spark, lake.silver).count() == 1
     assert read_table(spark, lake.quarantine).count() == 2
     found = read_quarantine(spark, lake).collect()
@@ -212,6 +222,8 @@ def test_compaction_keeps_silver_and_empties_older_batches(spark, lake):
     gold = gold_rows(spark, lake)
     compact_silver(spark, lake, [datetime.date(2024, 1, 1)])
     assert closes(spark, lake) == before
+    swept(spark, lake)
+    assert closes(spark, lake) == before
     stored = read_table(spark, lake.silver).groupBy("month").count().collect()
     assert {str(r.month): r["count"] for r in stored} == {"2024-01-01": 1, "2024-02-01": 3}
     assert ingest_new(spark, lake) == []
