@@ -22,30 +22,33 @@ def _null_safe(left: str, right: str, keys: Sequence[str]) -> Column:
 def _with_part(bars: DataFrame, keys: Sequence[str], max_bars: int) -> DataFrame:
     """Number the parts of groups that are too large for one document.
 
-    Rows of such a group are kept apart by their input partition and by their place in
-    it, counted in steps of ``max_bars``, so a part never has more rows than that,
-    however the rows lie. Places are taken after a local sort by all columns: a task
-    that runs again gives equal rows equal places. Large groups are marked by a join,
-    whose strategy is left to the planner.
+    Groups are counted first. Where none is too large, that is all: no row is sorted or
+    joined. Rows of the large ones are cut by ranges of time that Spark samples, whatever
+    their layout, and within such a range by their place, counted in steps of
+    ``max_bars``. So a part never has more rows than that, and the parts of a group
+    follow each other in time. The source partition is the last range key, so that even
+    equal rows are spread; it and the places are the same when a task runs again.
     """
-    hot = bars.groupBy(*keys).agg(F.count("*").alias("bars")).where(F.col("bars") > max_bars)
-    marks = hot.select(*keys, F.lit(True).alias("_hot")).alias("h")
-    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-    placed = bars.sortWithinPartitions(*bars.columns).select(
-        "*",
-        F.spark_partition_id().alias("_source"),
-        F.call_function("div", place, F.lit(max_bars)).alias("_step"),
-    )
-    split = F.struct(F.col("b._source").alias("source"), F.col("b._step").alias("step"))
+    counts = bars.groupBy(*keys).agg(F.count("*").alias("_bars"))
+    hot = counts.where(F.col("_bars") > max_bars).select(*keys).alias("h")
     whole = F.struct(F.lit(WHOLE).alias("source"), F.lit(WHOLE).cast("bigint").alias("step"))
-    return (
-        placed.alias("b")
-        .join(marks, _null_safe("b", "h", keys), "left")
-        .select(
-            *(F.col(f"b.{name}").alias(name) for name in bars.columns),
-            F.when(F.col("h._hot"), split).otherwise(whole).alias("_part"),
-        )
+    if hot.isEmpty():
+        return bars.withColumn("_part", whole)
+    large = _null_safe("b", "h", keys)
+    cold = bars.alias("b").join(hot, large, "left_anti").withColumn("_part", whole)
+    rest = [name for name in bars.columns if name not in keys]
+    order = [*keys, *rest, "_from"]
+    placed = (
+        bars.alias("b")
+        .join(hot, large, "left_semi")
+        .withColumn("_from", F.spark_partition_id())
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
     )
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    step = F.call_function("div", place, F.lit(max_bars))
+    split = F.struct(F.spark_partition_id().alias("source"), step.alias("step"))
+    return cold.unionByName(placed.withColumn("_part", split).drop("_from"))
 
 
 def _meta(available: Sequence[str]) -> Column:
@@ -67,6 +70,9 @@ def pack_documents(
 ) -> DataFrame:
     """Chart documents of at most ``max_bars`` bars each, in time order.
 
+    A group with more bars becomes several documents, whose times follow each other.
+    Groups are counted when this is called, so ``bars`` are read once more than written.
+
     A document holds one symbol with one set of metadata, and one value of each
     ``by`` column (a landing run, say), which is returned beside ``chart``.
     Documents keep whole seconds. Every bar is in exactly one document.
@@ -75,16 +81,11 @@ def pack_documents(
     keys = ["symbol", *meta, *by]
     values = [name for name in VALUE_COLUMNS if name in bars.columns]
     rows = bars.select(*keys, F.unix_seconds("datetime").alias("epoch"), *values)
-    collected = (
+    pieces = (
         _with_part(rows, keys, max_bars)
         .groupBy(*keys, "_part")
         .agg(F.sort_array(F.collect_list(F.struct("epoch", *values))).alias("bars"))
     )
-    starts = F.sequence(F.lit(1), F.size("bars"), F.lit(max_bars))
-    pieces = collected.select(
-        *keys,
-        F.explode(F.transform(starts, lambda at: F.slice("bars", at, max_bars))).alias("bars"),
-    )
     quote = F.struct(
         *(
             F.col("bars").getField(name).alias(name)

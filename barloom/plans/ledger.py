@@ -27,6 +27,7 @@ from barloom.sources.tables import (
     read_table,
     remove_folder,
     replace_table,
+    small_frame,
 )
 
 GENERATION = "generation"
@@ -62,8 +63,8 @@ def current_generation(spark: SparkSession, lake: Lake) -> int | None:
 
 def open_generation(spark: SparkSession, lake: Lake, generation: int) -> None:
     """Let readers switch to a generation; one appended row, the last act of a rebuild."""
-    row = spark.createDataFrame([(generation,)], GENERATIONS_DDL)
-    append_table(row.coalesce(1), lake.generations, fmt=lake.fmt)
+    row = small_frame(spark, [(generation,)], GENERATIONS_DDL)
+    append_table(row, lake.generations, fmt=lake.fmt)
 
 
 def clear_generation(spark: SparkSession, lake: Lake, generation: int) -> None:
@@ -123,13 +124,13 @@ def record_run(
     path = batch_folder(lake.silver, generation, batch)
     bars = read_table(spark, path, fmt=lake.fmt, schema=SILVER_DDL)
     rows = bars.groupBy("source_file", "month").agg(F.count(F.lit(1)).alias("bars"))
-    marker = spark.createDataFrame([(None, None, 0)], rows.schema)
+    marker = small_frame(spark, [(None, None, 0)], "source_file string, month date, bars bigint")
     rows = rows.unionByName(marker)
     changed = [(row.source_file,) for row in files or () if row.earlier]
     if changed:
-        gone = spark.createDataFrame(changed, "source_file string")
+        gone = small_frame(spark, changed, "source_file string")
         replace_table(
-            gone.coalesce(1), batch_folder(lake.superseded, generation, batch), fmt=lake.fmt
+            gone, batch_folder(lake.superseded, generation, batch), fmt=lake.fmt
         )
         before = read_runs(spark, lake, generation).where(
             (F.col(BATCH) < batch) & (F.col("bars") > 0)
@@ -142,7 +143,7 @@ def record_run(
     if files is not None:
         read = [(r.path, r.source_file, r.modified, r.length) for r in files]
         replace_table(
-            spark.createDataFrame(read, VERSIONS_DDL).coalesce(1),
+            small_frame(spark, read, VERSIONS_DDL),
             batch_folder(lake.files, generation, batch),
             fmt=lake.fmt,
         )
@@ -181,8 +182,8 @@ def retire(spark: SparkSession, lake: Lake, paths: Sequence[str]) -> None:
     """Note folders that new readers no longer need, to be removed by a later run."""
     if not paths:
         return
-    rows = spark.createDataFrame([(path, _now()) for path in paths], RETIRED_DDL)
-    append_table(rows.coalesce(1), lake.retired, fmt=lake.fmt)
+    rows = small_frame(spark, [(path, _now()) for path in paths], RETIRED_DDL)
+    append_table(rows, lake.retired, fmt=lake.fmt)
 
 
 def _now() -> int:
@@ -205,7 +206,5 @@ def sweep(spark: SparkSession, lake: Lake) -> list[str]:
         for path in due:
             remove_folder(spark, path)
         rest = [row for row in rows if row[0] not in set(due)]
-        replace_table(
-            spark.createDataFrame(rest, RETIRED_DDL).coalesce(1), lake.retired, fmt=lake.fmt
-        )
+        replace_table(small_frame(spark, rest, RETIRED_DDL), lake.retired, fmt=lake.fmt)
     return due

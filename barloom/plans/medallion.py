@@ -65,6 +65,7 @@ from barloom.sources.tables import (
     remove_folder,
     replace_partitions,
     replace_table,
+    small_frame,
 )
 
 ROLLUP = "daily_rollup"
@@ -346,8 +347,8 @@ def changed_months(spark: SparkSession, lake: Lake, *, after_batch: int) -> list
 
 
 def _record_progress(spark: SparkSession, lake: Lake, generation: int, batch: int) -> None:
-    row = spark.createDataFrame([(generation, batch)], PROGRESS_DDL)
-    replace_table(row.coalesce(1), lake.gold_table(PROGRESS), fmt=lake.fmt)
+    row = small_frame(spark, [(generation, batch)], PROGRESS_DDL)
+    replace_table(row, lake.gold_table(PROGRESS), fmt=lake.fmt)
 
 
 def _progress(spark: SparkSession, lake: Lake) -> tuple[int, int] | None:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -49,6 +51,20 @@ def read_if_written(
         return None
 
 
+def small_frame(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFrame:
+    """A frame of a few rows known to the driver, made without a Python worker."""
+    names = StructType.fromDDL(schema).names
+    text = json.dumps([dict(zip(names, row, strict=True)) for row in rows])
+    parsed = F.from_json(F.lit(text), f"array<struct<{schema_fields(schema)}>>")
+    return spark.range(1).select(F.inline(parsed))
+
+
+def schema_fields(schema: str) -> str:
+    """``a int, b string`` as the fields of a struct type."""
+    fields = StructType.fromDDL(schema).fields
+    return ", ".join(f"{field.name}: {field.dataType.simpleString()}" for field in fields)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever file system it is; none is no error."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

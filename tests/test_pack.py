@@ -80,6 +80,24 @@ def test_parts_are_bounded_whatever_the_layout(spark, skewed, clustered):
     assert parts.where("_part.source < 0").agg(F.max("count")).first()[0] <= 20
 
 
+@pytest.mark.parametrize("layout", ["spread", "clustered", "reversed"])
+def test_documents_of_a_hot_symbol_follow_each_other_in_time(spark, layout):
+    hot = [("HOT", t, 1.0, 1.0, 1.0, 1.0, t, 1.0, "X") for t in range(3000)]
+    cold = [("COLD", t, 1.0, 1.0, 1.0, 1.0, t, 1.0, "X") for t in range(40)]
+    bars = frame(spark, hot + cold, partitions=6)
+    if layout == "clustered":
+        bars = bars.repartition(3, "symbol")
+    if layout == "reversed":
+        bars = bars.orderBy(F.desc("epoch"))
+    times = F.col("chart.result")[0]["timestamp"]
+    documents = pack_documents(bars, max_bars=100).select("symbol", times.alias("times")).collect()
+    ranges = sorted((min(r.times), max(r.times)) for r in documents if r.symbol == "HOT")
+    assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:], strict=False))
+    assert sum(len(r.times) for r in documents) == 3040 and max(len(r.times) for r in documents) <= 100
+    # Few documents are short: one for each cut and group.
+    assert len(ranges) <= 30 + 2 * 4
+
+
 def test_times_are_in_order_within_a_document(spark):
     rows = [("A", t, float(t), 1.0, 1.0, 1.0, t, 1.0, "X") for t in (5, 3, 9, 1)]
     chart = pack_documents(frame(spark, rows)).first().chart

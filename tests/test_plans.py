@@ -7,7 +7,15 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from barloom.operators import explode_bars, for_symbol, newest_copy, on_date, resample, trailing
+from barloom.operators import (
+    explode_bars,
+    for_symbol,
+    newest_copy,
+    on_date,
+    pack_documents,
+    resample,
+    trailing,
+)
 from barloom.operators.metrics import daily_metrics, market_metrics, symbol_metrics
 from barloom.queries import REGISTRY, line_bars, ticks
 from barloom.sources import list_documents, read_documents, replace_table
@@ -96,3 +104,10 @@ def test_newest_copy_ranks_before_its_only_shuffle(spark):
     plan = plan_of(newest_copy(rows, key=("symbol", "ts"), recency=("version",)))
     assert plan.count("Exchange") == 1
     assert "Partial" in plan
+
+
+def test_packing_without_a_hot_group_sorts_and_joins_nothing(bars):
+    plan = plan_of(pack_documents(bars))
+    assert "Sort [" not in plan and "Join" not in plan and plan.count("Exchange ") == 1
+    cut = plan_of(pack_documents(bars, max_bars=100))
+    assert "rangepartitioning" in cut and "RoundRobin" not in cut
