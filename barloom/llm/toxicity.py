@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.llm.common import keyed, mix, span_hashes, steps, stored, utf8, word_spans
@@ -21,9 +21,15 @@ from barloom.llm.common import keyed, mix, span_hashes, steps, stored, utf8, wor
 BITS = 20
 #: Letters of a word's beginning, in bytes.
 STEM_BYTES = (4, 5)
-#: Most labelled documents of either class that the model is trained on.
-SAMPLE = 4000
-ALPHA, BETA, L1, L2, EPOCHS = 0.2, 1.0, 1.5, 0.1, 4
+#: Most labelled documents of either class that the model is trained on, most bytes of
+#: text of either class, and the longest text that is learned from.
+SAMPLE, SAMPLE_BYTES, LONGEST = 4000, 64 << 20, 1 << 20
+#: Chosen on a given table, on a split inside the rows that are learned from.
+ALPHA, BETA, L2, EPOCHS = 0.5, 1.0, 0.1, 8
+#: Strengths of L1 to choose from, by the root of the number of examples: what features
+#: without meaning add up to grows with it. The second is taken if there are too few
+#: examples of either class to choose by.
+STRENGTHS, FEW = (0.16, 0.33, 0.66), 20
 #: The bias of a model without any example: nothing is called toxic.
 NO_EXAMPLES = -2.0
 
@@ -56,26 +62,65 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.concatenate(owners), places.astype(np.int64)
 
 
-def train(examples: list[tuple[np.ndarray, int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Places and weights after ``EPOCHS`` rounds; the place past the last is the bias."""
-    z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
-    bias = 1 << BITS
-    if not examples:
-        return np.array([bias]), np.array([NO_EXAMPLES])
+def fit_ftrl(examples: list[tuple[np.ndarray, int]], l1: float) -> np.ndarray:
+    """Weights of all places after ``EPOCHS`` rounds; the last one is the bias.
 
-    def weights(at: np.ndarray) -> np.ndarray:
-        shrunk = np.sign(z[at]) * np.maximum(np.abs(z[at]) - np.where(at == bias, 0, L1), 0)
+    While a weight is zero, its sum moves by less than one for each example and round. So
+    a place of too few examples cannot pass ``l1``, and is left out from the start.
+    """
+    often = np.bincount(np.concatenate([at for at, _ in examples]), minlength=1 << BITS)
+    known = np.flatnonzero(often * EPOCHS > l1)
+    dense = np.full(1 << BITS, -1)
+    dense[known] = np.arange(len(known))
+    bias = len(known)
+    rows = []
+    for at, label in examples:
+        at = dense[at]
+        rows.append((np.append(at[at >= 0], bias), label))
+    z, n = np.zeros(bias + 1), np.zeros(bias + 1)
+    strength = np.append(np.full(bias, l1), 0.0)
+
+    def weights(at) -> np.ndarray:
+        shrunk = np.sign(z[at]) * np.maximum(np.abs(z[at]) - strength[at], 0)
         return -shrunk / ((BETA + np.sqrt(n[at])) / ALPHA + L2)
 
     for epoch in range(EPOCHS):
-        for i in np.random.default_rng(epoch).permutation(len(examples)):
-            at, label = np.append(examples[i][0], bias), examples[i][1]
+        for i in np.random.default_rng(epoch).permutation(len(rows)):
+            at, label = rows[i]
             w = weights(at)
-            error = 1 / (1 + np.exp(-np.clip(w.sum(), -30, 30))) - label
+            error = probability(w.sum()) - label
             grown = n[at] + error * error
             z[at] += error - (np.sqrt(grown) - np.sqrt(n[at])) / ALPHA * w
             n[at] = grown
-    found = weights(np.arange(len(z)))
+    found = np.zeros((1 << BITS) + 1)
+    found[np.append(known, 1 << BITS)] = weights(np.arange(bias + 1))
+    return found
+
+
+def probability(total):
+    return 1 / (1 + np.exp(-np.clip(total, -30, 30)))
+
+
+def log_loss(weight: np.ndarray, examples: list[tuple[np.ndarray, int]]) -> float:
+    said = probability(np.array([weight[at].sum() + weight[-1] for at, _ in examples]))
+    label = np.array([label for _, label in examples])
+    return float(-np.log(np.where(label == 1, said, 1 - said)).mean())
+
+
+def choose_strength(examples: list[tuple[np.ndarray, int]]) -> float:
+    """The strength with the least loss on every fourth example, learned from the others."""
+    held, rest = examples[::4], [e for i, e in enumerate(examples) if i % 4]
+    if any(sum(label == c for _, label in part) < FEW for part in (held, rest) for c in (0, 1)):
+        return STRENGTHS[1]
+    losses = [log_loss(fit_ftrl(rest, s * len(rest) ** 0.5), held) for s in STRENGTHS]
+    return STRENGTHS[int(np.argmin(losses))]
+
+
+def train(examples: list[tuple[np.ndarray, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Places and weights of the model; the place past the last is the bias."""
+    if not examples:
+        return np.array([1 << BITS]), np.array([NO_EXAMPLES])
+    found = fit_ftrl(examples, choose_strength(examples) * len(examples) ** 0.5)
     at = np.flatnonzero(found)
     return at, found[at]
 
@@ -83,7 +128,9 @@ def train(examples: list[tuple[np.ndarray, int]]) -> tuple[np.ndarray, np.ndarra
 def labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column, each: int) -> DataFrame:
     """At most ``each`` documents of either label, with ``toxic``; by a hash of the id.
 
-    A document labelled more than once is toxic if any label says so.
+    A document labelled more than once is toxic if any label says so. Of rows that share
+    an id one text is taken, the one with the least hash. The sample is bounded in bytes,
+    too: no text of over ``LONGEST``, and no more than ``SAMPLE_BYTES`` of either label.
     """
     known = (
         labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & learn)
@@ -97,7 +144,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column, each: int
     ]
     chosen = stored(picks[0].unionByName(picks[1]), "labelled")
     # No more than twice ``each`` rows, so the table to send is bounded.
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select("doc_id", text.alias("text")).filter(F.octet_length("text") <= LONGEST)
+    rows = rows.join(F.broadcast(chosen), "doc_id")
+    one = rows.groupBy("doc_id", "toxic", "_order").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    one = stored(one, "sample")
+    place = Window.partitionBy("toxic").orderBy("_order", "doc_id")
+    held = F.sum(F.octet_length("text").cast("long")).over(place.rowsBetween(Window.unboundedPreceding, 0))
+    some = one.select("doc_id", "toxic", "_order", held.alias("_held")).filter(F.col("_held") <= SAMPLE_BYTES)
+    return one.join(F.broadcast(some.select("doc_id")), "doc_id")
 
 
 def learn_weights(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -161,7 +216,7 @@ def score_texts(
             total = weight[-1] + np.bincount(
                 pairs >> BITS, weight[pairs & ((1 << BITS) - 1)], batch.num_rows
             )
-            score = 1 / (1 + np.exp(-np.clip(total, -30, 30)))
+            score = probability(total)
             yield pa.RecordBatch.from_arrays([batch["id"], pa.array(score)], ["id", "score"])
 
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))

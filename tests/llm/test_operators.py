@@ -313,9 +313,11 @@ def test_held_out_accuracy(spark):
     docs = documents(spark, sf_dir).select("doc_id", "lang")
     found = queries.op6_language_id(spark, sf_dir).join(docs, "doc_id").where("held_out")
     assert found.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] > 0.97
+    sf_dir = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = queries.op2_toxicity(spark, sf_dir).join(labels, "doc_id").where("held_out and toxic = 0")
-    assert scored.agg(F.avg("predicted")).first()[0] < 0.02
+    scored = queries.op2_toxicity(spark, sf_dir).join(labels, "doc_id").where("held_out")
+    rates = {r.toxic: r.rate for r in scored.groupBy("toxic").agg(F.avg("predicted").alias("rate")).collect()}
+    assert rates[1] >= 0.8 and rates[0] < 0.01
 
 
 def test_digests_of_the_bpe_query(spark):
