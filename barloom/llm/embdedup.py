@@ -23,13 +23,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from barloom.llm.common import stored
 from barloom.llm.components import components
 
-#: Vectors in a tile, and axes that tiles are ordered and bounded by.
-TILE = 1024
+#: Vectors in a tile, those of it that are compared at a time, and axes that tiles are
+#: ordered and bounded by.
+TILE = 4096
+BLOCK = 1024
 LEAD = 8
+#: Tiles on the one side of a task that looks for tiles near each other.
+BOXES = 512
 #: Coordinates added between two tests of the bound.
 STEP = 8
 #: Rounding of a product of unit vectors stays far below this.
@@ -40,6 +45,12 @@ def _stack(column: pa.Array) -> np.ndarray:
     return np.array([row.values.to_numpy() for row in column], float)
 
 
+def unit_rows(x: np.ndarray) -> np.ndarray:
+    """Rows scaled to length one; none is zero."""
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+
+
 def covariance_axes(units: DataFrame) -> np.ndarray:
     """Axes of the unit vectors by falling variance, from their second moments.
 
@@ -57,10 +68,11 @@ def covariance_axes(units: DataFrame) -> np.ndarray:
             )
 
     sums = units.select("unit").mapInArrow(run, "place long, moment double")
-    rows = sums.groupBy("place").agg(F.sum("moment").alias("moment")).collect()
-    size = round(len(rows) ** 0.5)
+    # A square of the vectors' length, as two columns of numbers.
+    found = sums.groupBy("place").agg(F.sum("moment").alias("moment")).toArrow()
+    size = round(found.num_rows ** 0.5)
     moments = np.zeros(size * size)
-    moments[[row["place"] for row in rows]] = [row["moment"] for row in rows]
+    moments[found["place"].to_numpy()] = found["moment"].to_numpy()
     return np.linalg.eigh(moments.reshape(size, size))[1][:, ::-1]
 
 
@@ -125,7 +137,8 @@ def _tiled(units: DataFrame, axes: np.ndarray) -> DataFrame:
             )
 
     kind = units.schema["label"].dataType.simpleString()
-    columns = f"node long, label {kind}, copies long, vector array<double>, unit array<double>"
+    given = units.schema["vector"].dataType.simpleString()
+    columns = f"node long, label {kind}, copies long, vector {given}, unit array<double>"
     return units.select("node", "label", "copies", "vector", "unit").mapInArrow(run, columns)
 
 
@@ -135,7 +148,7 @@ def _with_tiles(turned: DataFrame) -> DataFrame:
     A label's vectors are first divided by the first axis at its quantiles, and these
     by the second axis; quantiles are sketched, so no task orders a whole label.
     """
-    axis = lambda k: F.coalesce(F.col("unit")[k], F.lit(0.0))
+    axis = lambda k: F.coalesce(F.get("unit", F.lit(k)), F.lit(0.0))
     sizes = turned.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
     sizes = sizes.withColumn("cuts", F.greatest(F.ceil(F.sqrt(F.col("n") / TILE)), F.lit(1)))
     sketch = lambda k: F.percentile_approx(axis(k), F.lit(_CUTS), F.lit(1000))
@@ -157,15 +170,53 @@ def _with_tiles(turned: DataFrame) -> DataFrame:
     return tiles.select("node", "label", "copies", "vector", "unit", F.xxhash64(tile).alias("tile"))
 
 
+def compare_blocks(
+    x: np.ndarray, y: np.ndarray, threshold: float, own: bool
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``compare_tiles``, a block against a block at a time; ``own``: each pair once.
+
+    Within a tile, rows are first put in the order of the first axis, and blocks whose
+    boxes are too far apart are left out.
+    """
+    orders = [np.argsort(t[:, 0], kind="stable") for t in (x, y)]
+    parts = [[o[i : i + BLOCK] for i in range(0, len(o), BLOCK)] for o in orders]
+    reach = 2 - 2 * threshold + SLACK
+    found = []
+    for i, rows in enumerate(parts[0]):
+        a = x[rows]
+        for j, columns in enumerate(parts[1]):
+            if own and j < i:
+                continue
+            b = y[columns]
+            low, high = np.maximum(a.min(0), b.min(0)), np.minimum(a.max(0), b.max(0))
+            if (np.maximum(low - high, 0) ** 2).sum() > reach:
+                continue
+            at, to, cosine = compare_tiles(a, b, threshold)
+            if own and i == j:
+                some = at < to
+                at, to, cosine = at[some], to[some], cosine[some]
+            found.append((rows[at], columns[to], cosine))
+    if not found:
+        none = np.zeros(0, np.int64)
+        return none, none, np.zeros(0)
+    return tuple(np.concatenate(part) for part in zip(*found, strict=True))
+
+
 _CUTS = [k / 256 for k in range(1, 256)]
 
 
 def _tile_pairs(tiled: DataFrame, threshold: float) -> DataFrame:
     """Pairs of tiles of a label whose boxes in the leading coordinates come near enough."""
-    low = [F.min(F.col("unit")[k]).alias(f"low{k}") for k in range(LEAD)]
-    high = [F.max(F.col("unit")[k]).alias(f"high{k}") for k in range(LEAD)]
+    axis = lambda k: F.get("unit", F.lit(k))
+    low = [F.min(axis(k)).alias(f"low{k}") for k in range(LEAD)]
+    high = [F.max(axis(k)).alias(f"high{k}") for k in range(LEAD)]
     boxes = stored(tiled.groupBy("label", "tile").agg(*low, *high), "boxes")
-    a, b = boxes.alias("a"), boxes.alias("b")
+    # A label of many tiles is divided: each part has some of them on the one side, and
+    # all of them on the other.
+    parts = boxes.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / BOXES).cast("int").alias("parts"))
+    sized = boxes.join(parts, "label")
+    a = sized.withColumn("part", F.pmod(F.xxhash64("tile"), F.col("parts")).cast("int")).alias("a")
+    b = sized.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("b")
     gap = F.lit(0.0)
     for k in range(LEAD):
         apart = F.greatest(
@@ -175,7 +226,11 @@ def _tile_pairs(tiled: DataFrame, threshold: float) -> DataFrame:
     # Of unit vectors with this cosine the squared distance is 2 - 2 * threshold.
     near = gap <= 2 - 2 * threshold + SLACK
     pairs = a.join(
-        b, (F.col("a.label") == F.col("b.label")) & (F.col("a.tile") <= F.col("b.tile")) & near
+        b,
+        (F.col("a.label") == F.col("b.label"))
+        & (F.col("a.part") == F.col("b.part"))
+        & (F.col("a.tile") <= F.col("b.tile"))
+        & near,
     )
     return pairs.select(F.col("a.tile").alias("tile"), F.col("b.tile").alias("other"))
 
@@ -196,9 +251,13 @@ def near_duplicate_vectors(
 
     A vector that is null, empty or zero, holds nulls or non-finite numbers, or has no
     label, is linked with nothing; nor are vectors of different lengths. Repeated rows
-    are vectors of their own. An empty table gives no rows.
+    are vectors of their own. A null id is no smallest one: its row is not kept where links
+    lead to another id, and kept, with a null component, where they do not. An empty
+    table gives no rows.
     """
-    vector = F.col(vector_col).cast("array<double>")
+    # Float vectors travel as they are; whatever is computed from them is in doubles.
+    floats = vectors.schema[vector_col].dataType == ArrayType(FloatType(), True)
+    vector = F.col(vector_col) if floats else F.col(vector_col).cast("array<double>")
     fine = (
         F.col(label_col).isNotNull()
         & (F.size(vector) > 0)
@@ -216,14 +275,16 @@ def near_duplicate_vectors(
     key = F.sha2(F.to_json(F.struct(label, "vector")), 256)
     fine_rows = slim.filter("vector is not null").withColumn("key", key)
     classes = fine_rows.groupBy("key").agg(
-        F.min(F.struct("id", label.alias("label"), "vector")).alias("least"),
+        F.min("id").alias("id"),
+        F.min(F.struct(label.alias("label"), "vector")).alias("least"),
         F.count(F.lit(1)).alias("copies"),
     )
-    biggest = F.array_max(F.transform("vector", F.abs))
-    scaled = F.transform("vector", lambda v: v / biggest)
+    doubles = F.col("vector").cast("array<double>")
+    biggest = F.array_max(F.transform(doubles, F.abs))
+    scaled = F.transform(doubles, lambda v: v / biggest)
     length = F.sqrt(F.aggregate("scaled", F.lit(0.0), lambda s, v: s + v * v))
     units = (
-        classes.select("key", "least.*", "copies")
+        classes.select("key", "id", "least.*", "copies")
         .withColumn("node", F.monotonically_increasing_id())
         .withColumn("scaled", scaled)
         .withColumn("length", length)
@@ -261,28 +322,29 @@ def near_duplicate_vectors(
         F.col("id").alias(id_col),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("component_id", "id").alias("component_id"),
-        F.coalesce(F.col("id") == F.coalesce("component_id", "id"), F.lit(True)).alias("kept"),
+        F.col("id").eqNullSafe(F.coalesce("component_id", "id")).alias("kept"),
     )
 
 
 def _linked(units: DataFrame, threshold: float) -> DataFrame:
-    """``node`` with ``others``, the vectors linked in a pair of tiles, or a link to ``other``."""
+    """``node`` with ``others``, the vectors linked in a pair of tiles, or a link to ``other``.
+
+    Tiles travel as the vectors were given, and are turned again where they are compared.
+    """
     axes = covariance_axes(units)
+    shared = units.sparkSession.sparkContext.broadcast(axes)
     tiled = stored(_with_tiles(_tiled(units, axes)), "tiles")
     pairs = stored(_tile_pairs(tiled, threshold), "pairs")
 
     def compare(batches: list[pa.Table]) -> pa.Table:
         left, right = batches
         own = left["tile"][0] == right["tile"][0] if len(left) and len(right) else False
-        x, y = (_stack(t["unit"].combine_chunks()) for t in (left, right))
-        rows, columns, cosine = compare_tiles(x, y, threshold)
-        if own:
-            some = rows < columns
-            rows, columns, cosine = rows[some], columns[some], cosine[some]
+        u, v = (_stack(t["vector"].combine_chunks()) for t in (left, right))
+        x, y = (unit_rows(t) @ shared.value for t in (u, v))
+        rows, columns, cosine = compare_blocks(x, y, threshold, own)
         # Close to the threshold the cosine is taken from the vectors as they are given.
         close = np.flatnonzero(np.abs(cosine - threshold) <= SLACK)
         if len(close):
-            u, v = (_stack(t["vector"].combine_chunks()) for t in (left, right))
             u, v = u[rows[close]], v[columns[close]]
             exact = (u * v).sum(1) / (np.sqrt((u * u).sum(1)) * np.sqrt((v * v).sum(1)))
             cosine[close] = exact
@@ -301,7 +363,7 @@ def _linked(units: DataFrame, threshold: float) -> DataFrame:
         )
         return pa.Table.from_arrays([pa.array(node), pa.array(others), other], ["node", "others", "other"])
 
-    columns = ["node", "copies", "vector", "unit", "tile"]
+    columns = ["node", "copies", "vector", "tile"]
     here = F.xxhash64("a", "b").alias("pair")
     ends = pairs.select(F.col("tile").alias("a"), F.col("other").alias("b"))
     left = ends.select("a", "b", F.col("a").alias("tile")).join(tiled.select(*columns), "tile")
