@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from barloom.llm.common import stored
 
 
+#: Edges from which on a node is a hub, and how many hubs are sent to all tasks at most.
+HUB, HUBS = 1_000, 1_000_000
+
+
 def _settled(edges: DataFrame) -> bool:
     """Whether all edges lead from a node of one edge to a node that leads nowhere."""
     up = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
@@ -16,18 +20,34 @@ def _settled(edges: DataFrame) -> bool:
     return nodes.filter("up > 1 or (up = 1 and down = 1)").agg(F.count(F.lit(1))).first()[0] == 0
 
 
+def _with_least(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """``a``, ``b`` and ``m``, what ``least`` has for ``a``, of every edge.
+
+    The edges of a node with many are not brought together: such nodes, no more than one
+    for ``HUB`` edges, are sent to all tasks (and ``HUB`` grows with the edges, so that no
+    more than ``HUBS`` are).
+    """
+    least = stored(least, "least")
+    total = least.agg(F.sum("n")).first()[0] or 0
+    many = least.filter(F.col("n") > max(HUB, total // HUBS)).select("a", F.col("m").alias("_m"))
+    marked = edges.join(F.broadcast(many), "a", "left")
+    rest = marked.filter(F.col("_m").isNull()).select("a", "b").join(least.select("a", "m"), "a")
+    return rest.union(marked.filter(F.col("_m").isNotNull()).select("a", "b", F.col("_m").alias("m")))
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is tied to the node's least neighbour, or itself."""
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    tied = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return tied.filter("a > b").distinct()
+    count = F.count(F.lit(1)).alias("n")
+    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), count)
+    tied = _with_least(both.filter("b > a"), least)
+    return tied.select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a > b").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are tied to the least of these."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    tied = edges.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    least = edges.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
+    tied = _with_least(edges, least).select(F.col("b").alias("a"), F.col("m").alias("b"))
     own = least.select("a", F.col("m").alias("b"))
     return tied.filter("a > b").union(own).distinct()
 
