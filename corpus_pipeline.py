@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm.common import documents, stored
+from barloom.llm.common import documents, named, stored
 from barloom.llm.fertility import quality_rules
 from barloom.llm.langid import UNKNOWN, detect_languages
 from barloom.llm.neardup import near_duplicates
@@ -23,7 +23,7 @@ DOUBT = 0.9
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the tokeniser's fertility keep."""
     path = public_tokenizers.path("piece_bpe_32k.model")
-    return quality_rules(docs, path, keep=docs.columns).filter("kept").select(docs.columns)
+    return quality_rules(docs, path, keep=docs.columns, as_row=True).filter("kept").select("row.*")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +33,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     than is stated. If no document has a language, none can be learned: all texts with a
     letter are kept, and their language stays null.
     """
-    found = detect_languages(docs, F.lit(True), F.struct(*docs.columns))
+    found = detect_languages(docs, F.lit(True), F.struct(*named(docs.columns)))
     letter = F.coalesce(F.col("id.text").rlike(r"\p{L}"), F.lit(False))
     # Of a text with a letter, ``UNKNOWN`` says that nothing was learned.
     said = F.when(F.col("lang_pred") != UNKNOWN, F.col("lang_pred"))
@@ -45,7 +45,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the smallest id."""
-    return near_duplicates(docs, keep=docs.columns).filter("kept").select(docs.columns)
+    return near_duplicates(docs, keep=docs.columns, as_row=True).filter("kept").select("row.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
