@@ -7,8 +7,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from barloom.scratch import scratch_folder
 
@@ -27,9 +28,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def keyed(slim: DataFrame, columns: str) -> str:
+def keyed(slim: DataFrame, columns: str) -> StructType:
     """A schema of ``slim``'s column ``id``, in its own type, and of ``columns``."""
-    return f"id {slim.schema['id'].dataType.simpleString()}, {columns}"
+    key = StructField("id", slim.schema["id"].dataType)
+    return StructType([key, *StructType.fromDDL(columns).fields])
+
+
+def named(columns: list[str]) -> list[Column]:
+    """Columns by their whole names, also those with a dot in them."""
+    return [F.col(f"`{name.replace('`', '``')}`") for name in columns]
 
 
 def remainder(column: str, divisor: int):

@@ -21,7 +21,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import SPACE, keyed, mix, span_hashes, steps, stored, utf8, word_spans
+from barloom.llm.common import keyed, mix, named, SPACE, span_hashes, steps, stored, utf8, word_spans
 
 #: Words in a window that counts as repeated.
 WINDOW = 8
@@ -306,9 +306,13 @@ def quality_rules(
     keep: list[str],
     text_col: str = "text",
     lang_col: str | None = "lang",
+    as_row: bool = False,
 ) -> DataFrame:
     """The columns ``keep`` of every document, its measures, ``base_failed`` and ``kept``.
 
+    With ``as_row`` the kept columns are one struct, ``row``: they may then have any
+    names, also those of the measures.
+
     ``base_failed``: under 20 words, or over 30 of 100 words lie in 8-word windows that
     the text holds twice. Other documents are kept unless a measure is outside the band
     of their language and length: entropy too low, characters per token far from the
@@ -317,8 +321,8 @@ def quality_rules(
     length of few different texts is judged by its neighbours and by all texts, see
     ``bands``.
 
-    A null text has no words. Repeated rows are judged each, an empty table gives no
-    rows, and no column name of ``docs`` can clash: ``keep`` travels as one struct.
+    A null text has no words. Repeated rows are judged each, and an empty table gives no
+    rows.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     letter = F.regexp_extract(text, r"\p{L}", 0)
@@ -327,7 +331,7 @@ def quality_rules(
     block = F.concat(F.lit("script "), block.cast("string"))
     lang = F.col(lang_col).cast("string") if lang_col else F.lit(None).cast("string")
     key = F.struct(
-        F.struct(*keep).alias("row"),
+        F.struct(*named(keep)).alias("row"),
         F.coalesce(lang, block).alias("group"),
         F.xxhash64(text).alias("mark"),
     )
@@ -351,5 +355,5 @@ def quality_rules(
     )
     kept = ~base_failed() & ~F.coalesce(outside, F.lit(False))
     return bands(measured).select(
-        "row.*", *names, base_failed().alias("base_failed"), kept.alias("kept")
+        "row" if as_row else "row.*", *names, base_failed().alias("base_failed"), kept.alias("kept")
     )

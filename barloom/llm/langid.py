@@ -171,10 +171,11 @@ def windows(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarra
 def language_sample(docs: DataFrame, learn: Column) -> DataFrame:
     """About ``EACH`` documents of every language, ``ALL`` at most; by a hash of the id.
 
-    If ``ALL`` is too few for that, every language gets an equal part of it.
+    If ``ALL`` is too few for that, every language gets an equal part of it. Rows that
+    share id and language are one document, with the text of the least hash.
     """
     known = docs.filter(learn & F.col("lang").isNotNull() & (F.length("text") > 0))
-    slim = known.select("doc_id", "lang", F.xxhash64("doc_id").alias("_order"))
+    slim = known.select("doc_id", "lang", F.xxhash64("doc_id").alias("_order")).distinct()
     counts = stored(slim.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")), "languages")
     each = min(float(EACH), ALL / max(1, counts.count()))
     # A document's place among those of its language, as far as the hash tells.
@@ -185,12 +186,13 @@ def language_sample(docs: DataFrame, learn: Column) -> DataFrame:
         .filter(F.col("_place") <= each)
         .orderBy("_place", "doc_id", "lang")
         .limit(ALL)
-        .select("doc_id", "_order")
-        .distinct(),
+        .select("doc_id", "lang", "_order"),
         "sample",
     )
     # At most ``ALL`` rows, so the table to send is bounded.
-    return known.select("doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id")
+    rows = known.select("doc_id", "text", "lang").join(F.broadcast(chosen), ["doc_id", "lang"])
+    text = F.min_by("text", F.xxhash64("text")).alias("text")
+    return rows.groupBy("doc_id", "lang", "_order").agg(text)
 
 
 def learn_network(sample: DataFrame) -> bytes:

@@ -28,8 +28,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from barloom.llm.common import mix, span_hashes, steps, stored, utf8, word_spans
+from barloom.llm.common import mix, named, span_hashes, steps, stored, utf8, word_spans
 from barloom.llm.components import components
 
 WORDS = 5
@@ -141,13 +142,13 @@ def _sign(docs: DataFrame, keep: list[str], id_col: str, text_col: str) -> DataF
 
     text = F.col(text_col).cast("string")
     slim = docs.select(
-        F.struct(*keep).alias("row"),
+        F.struct(*named(keep)).alias("row"),
         F.col(id_col).alias("id"),
         text.alias("text"),
         F.sha2(text, 256).alias("key"),
     )
-    columns = ", ".join(f"{n} {slim.schema[n].dataType.simpleString()}" for n in slim.columns)
-    signed = slim.mapInArrow(run, f"{columns}, bands array<long>")
+    schema = StructType([*slim.schema.fields, *StructType.fromDDL("bands array<long>").fields])
+    signed = slim.mapInArrow(run, schema)
     return signed.withColumn("node", F.monotonically_increasing_id())
 
 
@@ -292,10 +293,18 @@ def _family_links(nodes: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, *, keep: list[str], id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    *,
+    keep: list[str],
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    as_row: bool = False,
 ) -> DataFrame:
     """The columns ``keep`` of every document, ``component_id`` and ``kept``.
 
+    With ``as_row`` the kept columns are one struct, ``row``: they may then have any
+    names, also those of the results.
+
     Documents with equal texts are one class; classes with a similarity of at least 0.8
     are linked, and links are followed. ``component_id`` is the smallest id reachable,
     ``first_id`` the smallest with an equal text, and ``kept`` holds for one row of each
@@ -325,7 +334,7 @@ def near_duplicates(
     )
     slim = signed.withColumn("key", F.when(F.col("bands").isNotNull(), F.col("key")))
     return slim.select("row", "id", "node", "key").join(texts, "key", "left").select(
-        "row.*",
+        "row" if as_row else "row.*",
         F.coalesce("first_id", "id").alias("first_id"),
         F.coalesce("component_id", "id").alias("component_id"),
         (F.col("node") == F.coalesce("head", "node")).alias("kept"),
