@@ -11,6 +11,7 @@ from barloom.llm.embdedup import near_duplicate_vectors
 from barloom.llm.fertility import quality_rules
 from barloom.llm.langid import detect_languages
 from barloom.llm.neardup import near_duplicates
+from barloom.llm.oracles import LLM_ORACLES as LLM_ORACLES
 from barloom.llm.packing import pack_documents
 from barloom.llm.patterns import pack_whole
 from barloom.llm.periodic import periodic_runs
@@ -21,7 +22,6 @@ from barloom.llm.simple8b import token_files
 from barloom.llm.toxicity import toxicity
 
 LLM_REGISTRY = {}
-LLM_ORACLES = {}
 
 
 def query(fn):
