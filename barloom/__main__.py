@@ -42,6 +42,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="barloom", description=__doc__.splitlines()[0])
     jobs = parser.add_subparsers(dest="job", required=True)
     ingest = jobs.add_parser("ingest", parents=[common], help="new documents to silver")
+    ingest.add_argument("--full-listing", action="store_true", help="look into closed folders, too")
     ingest.add_argument("--then-gold", action="store_true", help="and refresh the metric tables")
     jobs.add_parser("rebuild", parents=[common], help="all documents to silver and gold")
     compact = jobs.add_parser("compact", parents=[common], help="bring batches of a month together")
@@ -64,7 +65,7 @@ def main(argv: list[str] | None = None) -> None:
         retention=datetime.timedelta(hours=options.retention),
     )
     if options.job == "ingest":
-        ingest_new(spark, lake)
+        ingest_new(spark, lake, full_listing=options.full_listing)
         if options.then_gold:
             update_gold(spark, lake, scale=options.scale)
     elif options.job == "compact":

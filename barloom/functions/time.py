@@ -90,6 +90,27 @@ def calendar_bucket(timestamp: Column, code: str) -> Column:
     return F.window(timestamp, f"{count} {unit}").getField("start")
 
 
+def nests(fine: str, coarse: str) -> bool:
+    """Whether every ``coarse`` interval is made of whole ``fine`` ones."""
+    if fine == coarse:
+        return True
+    if fine in CALENDAR_CODES:
+        months = {"1mo": 1, "3mo": 3, "1y": 12}
+        return fine in months and coarse in months and months[fine] < months[coarse]
+    seconds = _seconds(fine)
+    if seconds is None:
+        return False
+    # Weeks, months and years begin at midnight, as days do.
+    whole = _seconds("1d") if coarse in CALENDAR_CODES else _seconds(coarse)
+    return whole is not None and whole % seconds == 0
+
+
+def _seconds(code: str) -> int | None:
+    count, unit = _parse_code(code)
+    length = {"second": 1, "minute": 60, "hour": 3600, "day": 86_400}.get(unit)
+    return None if length is None else count * length
+
+
 def trailing_interval(code: str) -> Column:
     """A range code as an interval to subtract."""
     count, unit = _parse_code(code)

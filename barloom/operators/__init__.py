@@ -1,6 +1,7 @@
 """Operators: plain functions from DataFrame to DataFrame."""
 
 from barloom.operators.bars import (
+    coarsen,
     explode_bars,
     explode_metadata,
     newest_copy,
@@ -33,6 +34,7 @@ from barloom.operators.quality import accepted, quarantined, with_reason
 
 __all__ = [
     "accepted",
+    "coarsen",
     "daily_metrics",
     "daily_rollup",
     "explode_bars",

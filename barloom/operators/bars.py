@@ -17,6 +17,7 @@ from barloom.functions.time import (
     known_zone,
     local_date,
     month_of,
+    nests,
 )
 from barloom.operators.quality import accepted
 from barloom.schemas import META_COLUMNS, PRICE_COLUMNS, VALUE_COLUMNS
@@ -166,6 +167,7 @@ def resample(
     price: str = "price",
     volume: str | None = None,
     tie_breaker: str | None = None,
+    mergeable: bool = False,
 ) -> DataFrame:
     """Bars of a chosen interval ("5m", "1h", "1d", "1wk", "1mo") from ticks.
 
@@ -175,6 +177,9 @@ def resample(
     name a ``tie_breaker`` column: without it either of them may be taken. A whole
     number is put behind the time in one fixed-width value, which keeps the hash
     aggregation; any other type is compared in a struct, by sorting.
+
+    ``mergeable`` bars keep the places of their open and close in time, as ``open_at`` and
+    ``close_at``: coarser bars can be made from them, without the ticks (``coarsen``).
     """
     at = F.col(time) if tie_breaker is None else _ordering(ticks, time, tie_breaker)
     aggregates = [
@@ -186,6 +191,30 @@ def resample(
     ]
     if volume is not None:
         aggregates.append(F.sum(volume).alias("volume"))
+    if mergeable:
+        aggregates += [F.min(at).alias("open_at"), F.max(at).alias("close_at")]
     return ticks.groupBy(
         F.col(symbol).alias("symbol"), calendar_bucket(F.col(time), interval).alias("bar_start")
     ).agg(*aggregates)
+
+
+def coarsen(bars: DataFrame, fine: str, coarse: str) -> DataFrame:
+    """Bars of the interval ``coarse`` from mergeable bars of the interval ``fine``.
+
+    The same as resampling the ticks, and mergeable again. Only intervals that nest can
+    be made so: hours to days, days to weeks or months, but not weeks to months.
+    """
+    if not nests(fine, coarse):
+        raise ValueError(f"{coarse!r} is not made of whole {fine!r}")
+    extra = [F.sum("volume").alias("volume")] if "volume" in bars.columns else []
+    start = calendar_bucket(F.col("bar_start"), coarse).alias("bar_start")
+    return bars.groupBy("symbol", start).agg(
+        F.min_by("open", "open_at").alias("open"),
+        F.max("high").alias("high"),
+        F.min("low").alias("low"),
+        F.max_by("close", "close_at").alias("close"),
+        F.sum("ticks").alias("ticks"),
+        *extra,
+        F.min("open_at").alias("open_at"),
+        F.max("close_at").alias("close_at"),
+    )

@@ -107,6 +107,10 @@ QUALIFY row_number() OVER (
     "bars_hourly": _resampled("time_bucket(INTERVAL 1 HOUR, ts)"),
     "bars_daily": _resampled("time_bucket(INTERVAL 1 DAY, ts)"),
     "bars_weekly": _resampled("CAST(date_trunc('week', ts) AS timestamp)"),
+    "bars_from_hourly": f"""
+SELECT '1d' AS interval, * FROM ({_resampled("time_bucket(INTERVAL 1 DAY, ts)")})
+UNION ALL
+SELECT '1wk', * FROM ({_resampled("CAST(date_trunc('week', ts) AS timestamp)")})""",
     "local_trade_date": """
 WITH zoned AS (
     SELECT ts, ['America/New_York', 'Europe/London', 'Asia/Tokyo', 'Australia/Sydney']

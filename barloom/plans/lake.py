@@ -25,6 +25,9 @@ class Lake:
     key: tuple[str, ...] = ("symbol", "datetime")
     # Pretty-printed documents: one document over all lines of a file.
     multi_line: bool = False
+    # How long a folder directly below bronze is still looked into after the last file that
+    # was found there. Later ones are found by a full listing.
+    settle: datetime.timedelta = datetime.timedelta(days=7)
     # How long folders stay that a rebuild or a compaction has replaced, for readers that
     # have begun on them. A later run removes them.
     retention: datetime.timedelta = datetime.timedelta(days=1)

@@ -37,7 +37,8 @@ GENERATIONS_DDL = "generation int"
 # ``modified`` is in microseconds since the epoch: no time zone can blur it.
 VERSIONS_DDL = "path string, source_file string, modified bigint, length bigint"
 PENDING_DDL = f"{VERSIONS_DDL}, earlier boolean"
-FILES_DDL = f"{VERSIONS_DDL}, ingest_batch int, generation int"
+# ``covered`` is when the batch was recorded, in microseconds, too.
+FILES_DDL = f"{VERSIONS_DDL}, covered bigint, ingest_batch int, generation int"
 SUPERSEDED_DDL = "source_file string, ingest_batch int, generation int"
 # A file's bars per month. Zero bars: the month lost those of an earlier version. A batch
 # has one row without a file, so that one without any bars is known, too.
@@ -76,22 +77,62 @@ def clear_generation(spark: SparkSession, lake: Lake, generation: int) -> None:
 # Files
 
 
-def listed_versions(spark: SparkSession, lake: Lake) -> DataFrame:
-    """All files of bronze, one row each, by one listing."""
+def listed_versions(
+    spark: SparkSession, lake: Lake, folders: list[str] | None = None
+) -> DataFrame:
+    """The files of bronze, or of some folders there, one row each, by one listing."""
+    if folders is not None and not folders:
+        return spark.createDataFrame([], VERSIONS_DDL)
     modified = F.unix_micros("modificationTime").alias("modified")
-    listed = list_documents(spark, lake.bronze, glob=lake.glob)
+    listed = list_documents(spark, folders or lake.bronze, glob=lake.glob)
     return listed.select("path", "source_file", modified, "length")
 
 
-def new_versions(spark: SparkSession, lake: Lake, generation: int | None) -> DataFrame:
+def open_folders(spark: SparkSession, lake: Lake, generation: int) -> list[str] | None:
+    """Folders of bronze that may still get files; None if all of bronze must be listed.
+
+    A folder directly below bronze, such as a landing run's, is closed once no batch has
+    found anything new in it for ``lake.settle``. Only the names of these folders are
+    listed here. Where files lie directly in bronze, there is nothing to leave out.
+    """
+    known = read_if_written(spark, lake.files, fmt=lake.fmt, schema=FILES_DDL)
+    if known is None:
+        return None
+    root = spark._jvm.org.apache.hadoop.fs.Path(lake.bronze)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    base = system.makeQualified(root).toString()
+    entries = [
+        (entry.getPath(), entry.isDirectory())
+        for entry in system.listStatus(root)
+        if not entry.getPath().getName().startswith((".", "_"))
+    ]
+    if not all(folder for _, folder in entries):
+        return None
+    below = F.col("path").substr(F.lit(len(base) + 2), F.length("path"))
+    last = known.where(F.col(GENERATION) == generation).groupBy(
+        F.substring_index(below, "/", 1).alias("folder")
+    )
+    limit = _now() - int(lake.settle.total_seconds() * 1_000_000)
+    settled = last.agg(F.max("covered").alias("covered")).where(F.col("covered") <= limit)
+    # As many names as bronze has folders.
+    closed = {row.folder for row in settled.select("folder").collect()}
+    return [path.toString() for path, _ in entries if path.getName() not in closed]
+
+
+def new_versions(
+    spark: SparkSession, lake: Lake, generation: int, *, full: bool = False
+) -> DataFrame:
     """Files that no batch of the generation covers in their present version.
 
+    Closed folders are left out, unless the listing is to be ``full``.
+
     ``earlier`` says that a batch covers another version. Only the last version that was
     read counts: a file that is put back as it once was is new again.
     """
-    listed = listed_versions(spark, lake)
+    folders = None if full else open_folders(spark, lake, generation)
+    listed = listed_versions(spark, lake, folders)
     known = read_if_written(spark, lake.files, fmt=lake.fmt, schema=FILES_DDL)
-    if known is None or generation is None:
+    if known is None:
         return listed.withColumn("earlier", F.lit(False))
     last = F.max(F.struct(BATCH, *VERSION)).alias("last")
     covered = known.where(F.col(GENERATION) == generation).groupBy("path").agg(last)
@@ -141,9 +182,10 @@ def record_run(
     rows = rows.withColumn("compacted", F.lit(files is None))
     replace_table(rows.coalesce(1), batch_folder(lake.runs, generation, batch), fmt=lake.fmt)
     if files is not None:
-        read = [(r.path, r.source_file, r.modified, r.length) for r in files]
+        now = _now()
+        read = [(r.path, r.source_file, r.modified, r.length, now) for r in files]
         replace_table(
-            small_frame(spark, read, VERSIONS_DDL),
+            small_frame(spark, read, f"{VERSIONS_DDL}, covered bigint"),
             batch_folder(lake.files, generation, batch),
             fmt=lake.fmt,
         )

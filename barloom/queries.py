@@ -227,6 +227,24 @@ def bars_weekly(spark, sf_dir):
     return _resampled(spark, sf_dir, "1wk")
 
 
+@query
+def bars_from_hourly(spark, sf_dir):
+    """Daily bars from stored hourly ones, and weekly bars from these."""
+    path = scratch_folder(spark, "hourly")
+    hourly = b.resample(
+        ticks(spark, sf_dir), "1h", time="ts", tie_breaker="event_id", mergeable=True
+    )
+    replace_table(hourly, path)
+    daily = b.coarsen(read_table(spark, path, schema=hourly.schema), "1h", "1d")
+    weekly = b.coarsen(daily, "1d", "1wk")
+    both = daily.withColumn("interval", F.lit("1d")).unionByName(
+        weekly.withColumn("interval", F.lit("1wk"))
+    )
+    return both.drop("open_at", "close_at").withColumn(
+        "bar_start", F.col("bar_start").cast("timestamp_ntz")
+    )
+
+
 @query
 def local_trade_date(spark, sf_dir):
     """Bars per UTC date and date at the exchange, each row in its own zone."""

@@ -11,8 +11,10 @@ from barloom.schemas import DOCUMENT_DDL, RAW_TEXT
 from barloom.sources.tables import literal
 
 
-def list_documents(spark: SparkSession, path: str, *, glob: str = "*.json") -> DataFrame:
-    """Path, time and size of every document file below ``path``.
+def list_documents(
+    spark: SparkSession, path: str | list[str], *, glob: str = "*.json"
+) -> DataFrame:
+    """Path, time and size of every document file below ``path``, a folder or several.
 
     ``source_file`` is the path as rows of documents name it. ``content`` is not
     selected, so no file is opened.
@@ -21,7 +23,7 @@ def list_documents(spark: SparkSession, path: str, *, glob: str = "*.json") -> D
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", True)
-        .load(literal(path))
+        .load(literal(path) if isinstance(path, str) else [literal(p) for p in path])
         .select(
             "path", "modificationTime", "length", F.col("_metadata.file_path").alias("source_file")
         )

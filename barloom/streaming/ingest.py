@@ -22,6 +22,7 @@ def ingest_new(
     max_bytes_per_batch: int = MAX_BYTES,
     max_files_per_batch: int = MAX_FILES,
     processed_at: Column | None = None,
+    full_listing: bool = False,
 ) -> list[int]:
     """Ingest the files landed or changed since the last run; returns the batches written.
 
@@ -30,11 +31,14 @@ def ingest_new(
     A later version replaces the bars and defects of the earlier ones. A batch's files
     are recorded last: one that failed half way is found again, and its folder replaced.
     The limits keep a backlog from becoming one batch.
+
+    Folders in which nothing new was found for ``lake.settle`` are not listed; a file that
+    lands there later is found by a run with ``full_listing``.
     """
     sweep(spark, lake)
     current = current_generation(spark, lake)
     generation = 0 if current is None else current
-    found = new_versions(spark, lake, generation)
+    found = new_versions(spark, lake, generation, full=full_listing)
     # Batch 0 belongs to a full rebuild.
     batch = newest_batch(spark, lake, generation) or 0
     written: list[int] = []

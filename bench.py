@@ -19,6 +19,7 @@ SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 STORAGE = {
+    "bars_from_hourly",
     "bronze_listing",
     "bronze_metadata",
     "bronze_roundtrip",

@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from barloom.functions import calendar_bucket, run_key, trailing_interval
-from barloom.operators import newest_copy, resample, trailing
+from barloom.functions.time import nests
+from barloom.operators import coarsen, newest_copy, resample, trailing
 
 DDL = "symbol string, datetime timestamp, close double, ingested_at timestamp, source_file string"
 T0 = datetime.datetime(2024, 1, 1)
@@ -102,6 +103,23 @@ def test_resample_against_brute_force(ticks, interval, minutes):
     } == expected
 
 
+@pytest.mark.parametrize("fine, coarse", [("5m", "1h"), ("1h", "1d"), ("1h", "1wk"), ("1d", "1mo")])
+def test_coarser_bars_equal_those_from_ticks(ticks, fine, coarse):
+    _, frame = ticks
+    options = {"volume": "volume", "tie_breaker": "seq", "mergeable": True}
+    found = coarsen(resample(frame, fine, **options), fine, coarse)
+    expected = resample(frame, coarse, **options).select(found.columns)
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+
+
+def test_only_intervals_that_nest_are_made_coarser(ticks):
+    _, frame = ticks
+    for fine, coarse in (("1wk", "1mo"), ("7m", "1h"), ("1d", "1h"), ("2d", "1wk"), ("1y", "1mo")):
+        with pytest.raises(ValueError, match="whole"):
+            coarsen(frame, fine, coarse)
+    assert all(nests(a, b) for a, b in (("1mo", "3mo"), ("3mo", "1y"), ("12h", "1mo"), ("1h", "2d")))
+
+
 def test_calendar_intervals(spark):
     day = spark.sql("SELECT timestamp '2024-05-15 13:00:00' AS t")
     expected = {

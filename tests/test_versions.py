@@ -219,3 +219,30 @@ def test_a_trailing_range_after_the_newest_month_was_emptied(spark, lake):
     put(lake, "2.json", document(result("A", times=(JAN + DAY,), close=[3.0])))
     ingest_new(spark, lake)
     assert sorted(r.close for r in read_trailing(spark, lake, "5d").collect()) == [1.0, 3.0]
+
+
+def test_closed_folders_are_not_listed(spark, lake):
+    for run in ("1", "2"):
+        Path(lake.bronze, f"run={run}").mkdir(parents=True)
+        put(lake, f"run={run}/a.json", document(result(f"S{run}", times=(JAN,), close=[1.0])))
+    assert ledger.open_folders(spark, lake, 0) is None  # nothing is known yet
+    ingest_new(spark, lake)
+    hasty = dataclasses.replace(lake, settle=datetime.timedelta(0))
+    names = lambda of: sorted(Path(f).name for f in ledger.open_folders(spark, of, 0))
+    assert names(lake) == ["run=1", "run=2"] and names(hasty) == []
+    Path(lake.bronze, "run=3 [x]").mkdir()
+    put(lake, "run=3 [x]/a.json", document(result("S3", times=(JAN,), close=[1.0])))
+    put(lake, "run=1/late.json", document(result("S4", times=(JAN,), close=[1.0])))
+    assert names(hasty) == ["run=3 [x]"]
+    ingest_new(spark, hasty)
+    assert {symbol for symbol, _, _ in closes(spark, lake)} == {"S1", "S2", "S3"}
+    assert ingest_new(spark, hasty) == []
+    ingest_new(spark, hasty, full_listing=True)
+    assert {symbol for symbol, _, _ in closes(spark, lake)} == {"S1", "S2", "S3", "S4"}
+    # Within the time to settle a late file needs no full listing.
+    put(lake, "run=2/late.json", document(result("S5", times=(JAN,), close=[1.0])))
+    assert len(ingest_new(spark, lake)) == 1
+    # With files directly in bronze everything is listed.
+    put(lake, "root.json", document(result("S6", times=(JAN,), close=[1.0])))
+    assert ledger.open_folders(spark, hasty, 0) is None
+    assert len(ingest_new(spark, hasty)) == 1
