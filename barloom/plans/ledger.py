@@ -156,11 +156,15 @@ def record_run(
     generation: int,
     batch: int,
     files: Sequence[Row] | None,
+    *,
+    compacted: bool = False,
 ) -> None:
     """Record a finished batch: files it supersedes, its months, the files it covers.
 
     Bars are counted in the batch's own folder. ``files`` are the versions it has read,
-    as many as one batch takes; None for a compaction.
+    as many as one batch takes; None for a compaction. ``compacted`` says that the batch
+    has the newest copy of every bar of its months, so that earlier batches are not
+    needed for them.
     """
     path = batch_folder(lake.silver, generation, batch)
     bars = read_table(spark, path, fmt=lake.fmt, schema=SILVER_DDL)
@@ -179,7 +183,7 @@ def record_run(
         lost = before.join(F.broadcast(gone), "source_file", "left_semi")
         lost = lost.select("source_file", "month").distinct()
         rows = rows.unionByName(lost.withColumn("bars", F.lit(0).cast("bigint")))
-    rows = rows.withColumn("compacted", F.lit(files is None))
+    rows = rows.withColumn("compacted", F.lit(compacted))
     replace_table(rows.coalesce(1), batch_folder(lake.runs, generation, batch), fmt=lake.fmt)
     if files is not None:
         now = _now()
@@ -200,6 +204,16 @@ def read_runs(spark: SparkSession, lake: Lake, generation: int) -> DataFrame:
     return runs.where(F.col(GENERATION) == generation).drop(GENERATION)
 
 
+def stored_months(spark: SparkSession, lake: Lake, generation: int, limit: int) -> list[Row]:
+    """All months with bars: ``month``, ``since`` (the batch it was last compacted in, or
+    NULL) and ``last`` (its last batch). None if they are more than ``limit``."""
+    runs = read_runs(spark, lake, generation).where("bars > 0")
+    since = F.max(F.when(F.col("compacted"), F.col(BATCH))).alias("since")
+    months = runs.groupBy("month").agg(since, F.max(BATCH).alias("last"))
+    rows = months.limit(limit + 1).collect()
+    return rows if len(rows) <= limit else []
+
+
 def newest_batch(spark: SparkSession, lake: Lake, generation: int) -> int | None:
     return read_runs(spark, lake, generation).agg(F.max(BATCH)).first()[0]
 

@@ -54,6 +54,7 @@ from barloom.plans.ledger import (
     read_runs,
     record_run,
     retire,
+    stored_months,
     sweep,
     without_superseded,
 )
@@ -144,7 +145,8 @@ def write_batch(
     write_silver_batch(bars, lake, generation, batch)
     defective = documents.where(F.col("reason") != "none")
     write_quarantine_batch(defective, lake, generation, batch, processed_at)
-    record_run(spark, lake, generation, batch, files)
+    # The first batch of a rebuild has no earlier ones to be compared with.
+    record_run(spark, lake, generation, batch, files, compacted=merge_copies and batch == 0)
 
 
 def file_batches(
@@ -231,7 +233,7 @@ def read_silver(spark: SparkSession, lake: Lake) -> DataFrame:
     stored = _stored_silver(spark, lake)
     if stored is None:
         return spark.createDataFrame([], SILVER_DDL).drop(BATCH)
-    return _newest(stored, lake)
+    return _newest(stored, lake, current_generation(spark, lake))
 
 
 def read_trailing(spark: SparkSession, lake: Lake, code: str) -> DataFrame:
@@ -249,7 +251,8 @@ def read_trailing(spark: SparkSession, lake: Lake, code: str) -> DataFrame:
     newest = stored.where(F.col("month") == F.lit(last)).agg(F.max("datetime")).first()[0]
     if newest is None:
         newest = stored.agg(F.max("datetime")).first()[0]
-    return trailing(_newest(stored, lake), code, newest=F.lit(newest))
+    bars = _newest(stored, lake, current_generation(spark, lake))
+    return trailing(bars, code, newest=F.lit(newest))
 
 
 def read_quarantine(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -297,9 +300,9 @@ def compact_silver(
     # From the records: every folder that has bars of these months.
     runs = read_runs(spark, lake, generation).where(F.col("bars") > 0)
     folders = runs.where(_in_months(months)).select(BATCH, "month").distinct().collect()
-    bars = _newest(_stored_silver(spark, lake).where(_in_months(months)), lake)
+    bars = _newest(_stored_silver(spark, lake).where(_in_months(months)), lake, generation)
     write_silver_batch(bars, lake, generation, batch)
-    record_run(spark, lake, generation, batch, None)
+    record_run(spark, lake, generation, batch, None, compacted=True)
     retire(
         spark,
         lake,
@@ -314,15 +317,39 @@ def compact_silver(
 _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
-def _newest(stored: DataFrame, lake: Lake) -> DataFrame:
-    """Of two readings of one file the later one counts.
+def _newest(stored: DataFrame, lake: Lake, generation: int) -> DataFrame:
+    """The newest copy of each bar. Of two readings of one file the later one counts.
 
-    Date and month follow from the key; as window keys they let filters through.
+    Months that lie in one batch since they were compacted (or rebuilt) hold no copies:
+    they are read as they are, without an exchange. Only the others are ranked, by a
+    window, and batches from before their last compaction are not read. Date and month
+    follow from the key; as window keys they let filters through.
     """
     recency = ("ingested_at", "processed_at", BATCH, "source_file")
-    return newest_copy(
-        stored, key=lake.key, recency=recency, implied=("date", "month")
-    ).drop(BATCH)
+
+    def ranked(rows: DataFrame) -> DataFrame:
+        return newest_copy(rows, key=lake.key, recency=recency, implied=("date", "month"))
+
+    months = stored_months(stored.sparkSession, lake, generation, MAX_MONTHS)
+    # A bar's month follows from its time, not from a key of symbols alone.
+    if not any(row.since is not None for row in months) or not {"datetime", "date"} & set(lake.key):
+        return ranked(stored).drop(BATCH)
+
+    def rows_of(some: list[Row]) -> DataFrame:
+        """Months' rows since they were compacted: a static choice of folders."""
+        chosen = F.lit(False)
+        for since in {row.since for row in some}:
+            named = _in_months([row.month for row in some if row.since == since])
+            chosen = chosen | (named if since is None else named & (F.col(BATCH) >= since))
+        return stored.where(F.coalesce(chosen, F.lit(False)))
+
+    settled = [row for row in months if row.last == row.since]
+    others = [row for row in months if row.last != row.since]
+    if not others:
+        return rows_of(settled).drop(BATCH)
+    if not settled:
+        return ranked(rows_of(others)).drop(BATCH)
+    return rows_of(settled).unionByName(ranked(rows_of(others))).drop(BATCH)
 
 
 def _in_months(months: Sequence[datetime.date | None]) -> Column:
@@ -404,7 +431,7 @@ def silver_to_gold(
     if silver is None or silver.isEmpty():
         return False
     layout = {"fmt": lake.fmt, "partition_by": ("month",), "sort_by": ("symbol",)}
-    rollups = with_month(daily_rollup(_newest(silver, lake), scale=scale))
+    rollups = with_month(daily_rollup(_newest(silver, lake, generation), scale=scale))
     replace_table(rollups, lake.gold_table(ROLLUP), **layout)
     stored = read_table(spark, lake.gold_table(ROLLUP), fmt=lake.fmt)
     daily = _daily(stored, processed_at, scale)
@@ -434,7 +461,8 @@ def refresh_gold(
         return
     layout = {"fmt": lake.fmt, "partition_by": ("month",), "sort_by": ("symbol",)}
     silver = _stored_silver(spark, lake).where(_in_months(months))
-    rollups = with_month(daily_rollup(_newest(silver, lake), scale=scale))
+    bars = _newest(silver, lake, current_generation(spark, lake))
+    rollups = with_month(daily_rollup(bars, scale=scale))
     emptied = _emptied_months(spark, lake, months)
     for name in (ROLLUP, "daily_metrics", MONTHS):
         for month in emptied:

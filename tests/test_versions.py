@@ -10,6 +10,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from barloom.operators import on_date
 from barloom.plans import (
     bronze_to_silver,
     compact_silver,
@@ -246,3 +247,50 @@ def test_closed_folders_are_not_listed(spark, lake):
     put(lake, "root.json", document(result("S6", times=(JAN,), close=[1.0])))
     assert ledger.open_folders(spark, hasty, 0) is None
     assert len(ingest_new(spark, hasty)) == 1
+
+
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_settled_months_are_read_without_an_exchange(spark, lake):
+    put(lake, "1.json", document(result("A", times=(JAN, FEB), close=[1.0, 1.0])))
+    put(lake, "2.json", document(result("A", times=(JAN,), close=[2.0])))
+    os.utime(Path(lake.bronze, "1.json"), (JAN, JAN))
+    bronze_to_silver(spark, lake)
+    plan = executed(read_silver(spark, lake))
+    assert "Exchange" not in plan and "Window" not in plan
+    assert closes(spark, lake) == [("A", JAN, 2.0), ("A", FEB, 1.0)]
+    # Another month in another batch: only that month is ranked.
+    put(lake, "3.json", document(result("A", times=(FEB, MAR), close=[3.0, 3.0])))
+    ingest_new(spark, lake)
+    expected = [("A", JAN, 2.0), ("A", FEB, 3.0), ("A", MAR, 3.0)]
+    both = read_silver(spark, lake)
+    assert closes(spark, lake) == expected
+    january = executed(on_date(both, datetime.date(2024, 1, 10)))
+    assert "Window" in executed(both)
+    assert [r.close for r in on_date(both, datetime.date(2024, 1, 10)).collect()] == [2.0]
+    assert "ingest_batch" in january
+    # Compacted together, all lies in one batch per month, and old folders are not read.
+    compact_silver(spark, lake, [datetime.date(2024, 2, 1), datetime.date(2024, 3, 1)])
+    plan = executed(read_silver(spark, lake))
+    assert "Exchange" not in plan and closes(spark, lake) == expected
+    update_gold(spark, lake)
+    before = gold_rows(spark, lake)
+    silver_to_gold(spark, lake)
+    assert gold_rows(spark, lake) == before
+    # A later version of a file in a settled month.
+    put(lake, "2.json", document(result("A", times=(MAR,), close=[4.0])))
+    ingest_new(spark, lake)
+    assert closes(spark, lake) == [("A", FEB, 3.0), ("A", MAR, 4.0)]
+
+
+def test_settled_months_with_other_keys_and_no_times(spark, lake):
+    lake = dataclasses.replace(lake, key=("symbol", "date"))
+    put(lake, "1.json", document(result("A", times=(JAN, JAN + 5, 2**60), close=[1.0, 2.0, 3.0])))
+    bronze_to_silver(spark, lake)
+    assert "Exchange" not in executed(read_silver(spark, lake))
+    assert sorted(r.close for r in read_silver(spark, lake).collect()) == [2.0, 3.0]
+    put(lake, "2.json", document(result("A", times=(2**60, FEB), close=[5.0, 6.0])))
+    ingest_new(spark, lake)
+    assert sorted(r.close for r in read_silver(spark, lake).collect()) == [2.0, 3.0, 5.0, 6.0]
