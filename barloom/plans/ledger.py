@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from barloom.plans.lake import Lake
 from barloom.schemas import SILVER_DDL
-from barloom.sources.documents import list_documents
+from barloom.sources.documents import list_versions
 from barloom.sources.tables import (
     append_table,
     read_if_written,
@@ -83,9 +83,7 @@ def listed_versions(
     """The files of bronze, or of some folders there, one row each, by one listing."""
     if folders is not None and not folders:
         return spark.createDataFrame([], VERSIONS_DDL)
-    modified = F.unix_micros("modificationTime").alias("modified")
-    listed = list_documents(spark, folders or lake.bronze, glob=lake.glob)
-    return listed.select("path", "source_file", modified, "length")
+    return list_versions(spark, folders or lake.bronze, glob=lake.glob)
 
 
 def open_folders(spark: SparkSession, lake: Lake, generation: int) -> list[str] | None:

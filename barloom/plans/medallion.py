@@ -264,6 +264,9 @@ def read_quarantine(spark: SparkSession, lake: Lake) -> DataFrame:
         stored = read_if_written(spark, path, fmt=lake.fmt, schema=QUARANTINE_DDL)
     if stored is None:
         return spark.createDataFrame([], QUARANTINE_DDL).drop(BATCH)
+    # A run that failed before its files were recorded has left what the next one reads again.
+    last = stored.groupBy("source_file").agg(F.max(BATCH).alias(BATCH))
+    stored = stored.join(last, ["source_file", BATCH], "left_semi")
     return without_superseded(spark, lake, generation, stored).drop(BATCH)
 
 

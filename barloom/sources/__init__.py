@@ -1,6 +1,11 @@
 """Readers and writers. Only these modules touch storage."""
 
-from barloom.sources.documents import land_documents, list_documents, read_documents
+from barloom.sources.documents import (
+    land_documents,
+    list_documents,
+    list_versions,
+    read_documents,
+)
 from barloom.sources.jdbc import export_tables
 from barloom.sources.tables import (
     GoldTables,
@@ -20,6 +25,7 @@ __all__ = [
     "export_tables",
     "land_documents",
     "list_documents",
+    "list_versions",
     "read_documents",
     "read_gold",
     "read_if_written",

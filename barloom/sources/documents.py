@@ -11,22 +11,34 @@ from barloom.schemas import DOCUMENT_DDL, RAW_TEXT
 from barloom.sources.tables import literal
 
 
-def list_documents(
-    spark: SparkSession, path: str | list[str], *, glob: str = "*.json"
-) -> DataFrame:
-    """Path, time and size of every document file below ``path``, a folder or several.
-
-    ``source_file`` is the path as rows of documents name it. ``content`` is not
-    selected, so no file is opened.
-    """
+def _listed(spark: SparkSession, path: str | list[str], glob: str) -> DataFrame:
+    """``content`` is never selected, so no file is opened."""
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", True)
         .load(literal(path) if isinstance(path, str) else [literal(p) for p in path])
-        .select(
-            "path", "modificationTime", "length", F.col("_metadata.file_path").alias("source_file")
-        )
+    )
+
+
+def list_documents(spark: SparkSession, path: str, *, glob: str = "*.json") -> DataFrame:
+    """Path, time and size of every document file below ``path``."""
+    return _listed(spark, path, glob).select("path", "modificationTime", "length")
+
+
+def list_versions(
+    spark: SparkSession, path: str | list[str], *, glob: str = "*.json"
+) -> DataFrame:
+    """The versions of the files below a folder, or several: what tells one from another.
+
+    ``source_file`` is the path as documents name it, ``modified`` the time in microseconds
+    since the epoch.
+    """
+    return _listed(spark, path, glob).select(
+        "path",
+        F.col("_metadata.file_path").alias("source_file"),
+        F.unix_micros("modificationTime").alias("modified"),
+        "length",
     )
 
 

@@ -24,7 +24,7 @@ from barloom.plans import (
     sweep,
     update_gold,
 )
-from barloom.sources import list_documents, read_documents, read_table
+from barloom.sources import list_versions, read_documents, read_table
 from barloom.streaming import ingest_new
 from tests.samples import document, result
 from tests.test_lake import DAY, FEB, JAN, MAR, closes, gold_rows, lake, put
@@ -84,7 +84,7 @@ def test_file_names_are_no_patterns(spark, lake):
     assert ingest_new(spark, lake) == []
     bronze_to_silver(spark, lake)
     assert closes(spark, lake) == expected
-    listed = {r.source_file for r in list_documents(spark, lake.bronze).collect()}
+    listed = {r.source_file for r in list_versions(spark, lake.bronze).collect()}
     assert listed == {r.source_file for r in read_documents(spark, lake.bronze).collect()}
 
 
@@ -141,6 +141,24 @@ def test_a_repaired_file_leaves_quarantine(spark, lake):
     assert closes(spark, lake) == [("A", JAN, 1.0), ("B", JAN, 3.0)]
 
 
+def test_a_run_that_failed_before_its_files_were_recorded(spark, lake, monkeypatch):
+    put(lake, "1.json", "{bad", document(result("A", times=(JAN,), close=[1.0])))
+    right = ledger.replace_table
+
+    def fail(frame, path, **options):
+        if path.startswith(lake.files):
+            raise OSError("lost")
+        right(frame, path, **options)
+
+    with monkeypatch.context() as broken:
+        broken.setattr(ledger, "replace_table", fail)
+        with pytest.raises(OSError):
+            ingest_new(spark, lake)
+    assert len(ingest_new(spark, lake)) == 1
+    assert closes(spark, lake) == [("A", JAN, 1.0)] and read_quarantine(spark, lake).count() == 1
+    assert ingest_new(spark, lake) == []
+
+
 def test_a_rewritten_file_replaces_compacted_bars(spark, lake):
     for day in range(3):
         put(lake, f"{day}.json", document(result("A", times=(JAN + day * DAY,), close=[float(day)])))
