@@ -10,6 +10,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from barloom.__main__ import main
 from barloom.operators import on_date
 from barloom.plans import (
     bronze_to_silver,
@@ -312,3 +313,14 @@ def test_settled_months_with_other_keys_and_no_times(spark, lake):
     put(lake, "2.json", document(result("A", times=(2**60, FEB), close=[5.0, 6.0])))
     ingest_new(spark, lake)
     assert sorted(r.close for r in read_silver(spark, lake).collect()) == [2.0, 3.0, 5.0, 6.0]
+
+
+def test_compaction_from_the_command_line(spark, lake):
+    for i in range(2):
+        put(lake, f"{i}.json", document(result("A", times=(JAN, FEB), close=[float(i), 1.0])))
+        main(["ingest", "--root", lake.root, "--full-listing"])
+    main(["compact", "--root", lake.root, "--min-batches", "2", "--retention", "0"])
+    assert fragmented_months(spark, lake, min_batches=2) == []
+    assert closes(spark, lake) == [("A", JAN, 1.0), ("A", FEB, 1.0)]
+    main(["ingest", "--root", lake.root, "--retention", "0"])
+    assert read_table(spark, lake.silver).count() == 2
