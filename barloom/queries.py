@@ -378,7 +378,7 @@ def _stale_and_new(spark, sf_dir):
 
 def _land_run(bars, lake, run):
     documents = pack_documents(bars.withColumn("run", F.lit(run)), by=["run"])
-    land_documents(documents, lake.bronze, partition_by=["run"])
+    land_documents(documents, lake.bronze, partition_by=["run"], rebalance=False)
 
 
 def _ingest_twice(spark, sf_dir, name, after_first=None):

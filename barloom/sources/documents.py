@@ -84,20 +84,26 @@ def read_documents(
     return with_provenance(raw)
 
 
-def land_documents(documents: DataFrame, path: str, *, partition_by: Sequence[str] = ()) -> None:
+def land_documents(
+    documents: DataFrame, path: str, *, partition_by: Sequence[str] = (), rebalance: bool = True
+) -> None:
     """Write documents as JSON lines, replacing only the folders written to.
 
     With ``partition_by=("run",)`` each landing run has its own folder, so a
     repeated run overwrites itself. The rebalance splits a folder that holds
-    much of the data between tasks and gives a small one a single file.
+    much of the data between tasks and gives a small one a single file. Pass
+    ``rebalance=False`` for documents of a single folder that come straight from
+    ``pack_documents``: its grouping has spread them already, and each task writes
+    one file, without a second shuffle of all documents.
     """
     if not partition_by:
         documents.select("chart").write.option("ignoreNullFields", False).mode("overwrite").json(path)
         return
+    chosen = documents.select("chart", *partition_by)
+    if rebalance:
+        chosen = chosen.hint("rebalance", *partition_by)
     (
-        documents.select("chart", *partition_by)
-        .hint("rebalance", *partition_by)
-        .write.option("ignoreNullFields", False)
+        chosen.write.option("ignoreNullFields", False)
         .option("partitionOverwriteMode", "dynamic")
         .mode("overwrite")
         .partitionBy(*partition_by)

@@ -170,3 +170,12 @@ bars = st.lists(
 def test_any_bars_return(spark, folder, rows, max_bars):
     back = returned(spark, pack_documents(frame(spark, rows), max_bars=max_bars), folder)
     assert contents(back) == Counter(rows)
+
+
+def test_landing_one_packed_run_without_a_second_shuffle_keeps_every_bar(spark, folder):
+    rows = skewed_rows()
+    packed = pack_documents(frame(spark, rows).withColumn("run", F.lit("20240101_000000")), by=["run"], max_bars=7)
+    land_documents(packed, folder, partition_by=["run"], rebalance=False)
+    back = explode_bars(read_documents(spark, folder))
+    assert back.select("source_file").where(~F.col("source_file").contains("/run=20240101_000000/")).count() == 0
+    assert contents(back) == Counter(rows)
