@@ -88,13 +88,32 @@ def silver_bars(documents: DataFrame, processed_at: Column | None = None) -> Dat
     return with_processed_at(bars, processed_at)
 
 
-def write_silver_batch(bars: DataFrame, lake: Lake, generation: int, batch: int) -> None:
+def _by_dates(rows: DataFrame) -> DataFrame:
+    """Rows in ranges of date and symbol, for a write partitioned by month.
+
+    This one shuffle brings the rows of a symbol and date together, for a grouping or
+    a ranking by keys that include both, and leaves each task few months, so the
+    write needs no rebalance of its own. Spark samples the ranges: a hot date is split
+    by symbol.
+    """
+    return rows.repartitionByRange("date", "symbol")
+
+
+def _dated(lake: Lake) -> bool:
+    """Whether a bar's date and month follow from the key, which names its symbol."""
+    return "symbol" in lake.key and bool({"datetime", "date"} & set(lake.key))
+
+
+def write_silver_batch(
+    bars: DataFrame, lake: Lake, generation: int, batch: int, *, rebalance: bool = True
+) -> None:
     replace_table(
         bars,
         batch_folder(lake.silver, generation, batch),
         fmt=lake.fmt,
         partition_by=("month",),
         sort_by=SILVER_ORDER,
+        rebalance=rebalance,
     )
 
 
@@ -140,9 +159,12 @@ def write_batch(
     documents = read_table(spark, lake.documents, fmt=lake.fmt, schema=tagged.schema)
     good = documents.where(~F.col("reason").isin(*REJECTED))
     bars = silver_bars(good, processed_at)
-    if merge_copies:
+    placed = merge_copies and _dated(lake)
+    if placed:
+        bars = newest_copy(_by_dates(bars), key=lake.key, implied=("date", "month"))
+    elif merge_copies:
         bars = newest_copy(bars, key=lake.key)
-    write_silver_batch(bars, lake, generation, batch)
+    write_silver_batch(bars, lake, generation, batch, rebalance=not placed)
     defective = documents.where(F.col("reason") != "none")
     write_quarantine_batch(defective, lake, generation, batch, processed_at)
     # The first batch of a rebuild has no earlier ones to be compared with.
@@ -434,8 +456,8 @@ def silver_to_gold(
     if silver is None or silver.isEmpty():
         return False
     layout = {"fmt": lake.fmt, "partition_by": ("month",), "sort_by": ("symbol",)}
-    rollups = with_month(daily_rollup(_newest(silver, lake, generation), scale=scale))
-    replace_table(rollups, lake.gold_table(ROLLUP), **layout)
+    rollups = with_month(daily_rollup(_by_dates(_newest(silver, lake, generation)), scale=scale))
+    replace_table(rollups, lake.gold_table(ROLLUP), rebalance=False, **layout)
     stored = read_table(spark, lake.gold_table(ROLLUP), fmt=lake.fmt)
     daily = _daily(stored, processed_at, scale)
     replace_table(daily, lake.gold_table("daily_metrics"), rebalance=False, **layout)
@@ -465,12 +487,12 @@ def refresh_gold(
     layout = {"fmt": lake.fmt, "partition_by": ("month",), "sort_by": ("symbol",)}
     silver = _stored_silver(spark, lake).where(_in_months(months))
     bars = _newest(silver, lake, current_generation(spark, lake))
-    rollups = with_month(daily_rollup(bars, scale=scale))
+    rollups = with_month(daily_rollup(_by_dates(bars), scale=scale))
     emptied = _emptied_months(spark, lake, months)
     for name in (ROLLUP, "daily_metrics", MONTHS):
         for month in emptied:
             remove_folder(spark, f"{lake.gold_table(name)}/month={month or _NULL_FOLDER}")
-    replace_partitions(rollups, lake.gold_table(ROLLUP), **layout)
+    replace_partitions(rollups, lake.gold_table(ROLLUP), rebalance=False, **layout)
     stored = read_table(spark, lake.gold_table(ROLLUP), fmt=lake.fmt).where(_in_months(months))
     daily = _daily(stored, processed_at, scale)
     replace_partitions(daily, lake.gold_table("daily_metrics"), rebalance=False, **layout)

@@ -111,3 +111,17 @@ def test_packing_without_a_hot_group_sorts_and_joins_nothing(bars):
     assert "Sort [" not in plan and "Join" not in plan and plan.count("Exchange ") == 1
     cut = plan_of(pack_documents(bars, max_bars=100))
     assert "rangepartitioning" in cut and "RoundRobin" not in cut
+
+
+def test_silver_and_gold_rows_are_grouped_and_laid_out_by_one_shuffle(bars):
+    from barloom.operators import with_month
+    from barloom.operators.metrics import daily_rollup
+    from barloom.plans.medallion import _by_dates
+
+    rows = with_month(bars.withColumn("ingested_at", F.lit(1)).withColumn("source_file", F.lit("f")))
+    for table in (
+        newest_copy(_by_dates(rows), key=("symbol", "datetime"), implied=("date", "month")),
+        daily_rollup(_by_dates(rows)),
+    ):
+        plan = plan_of(table)
+        assert plan.count("Exchange ") == 1 and "rangepartitioning(date" in plan
