@@ -44,11 +44,6 @@ class Lake:
         """Raw documents."""
         return self._below("bronze")
 
-    @property
-    def documents(self) -> str:
-        """Parsed documents of the batch that is being written, a folder per reason."""
-        return self._below("documents")
-
     @property
     def silver(self) -> str:
         return self._below("silver")

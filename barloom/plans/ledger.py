@@ -14,9 +14,12 @@ from __future__ import annotations
 
 import time
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from barloom.plans.lake import Lake
 from barloom.schemas import SILVER_DDL
@@ -27,6 +30,7 @@ from barloom.sources.tables import (
     read_table,
     remove_folder,
     replace_table,
+    run_once,
     small_frame,
 )
 
@@ -42,7 +46,13 @@ FILES_DDL = f"{VERSIONS_DDL}, covered bigint, ingest_batch int, generation int"
 SUPERSEDED_DDL = "source_file string, ingest_batch int, generation int"
 # A file's bars per month. Zero bars: the month lost those of an earlier version. A batch
 # has one row without a file, so that one without any bars is known, too.
-RUNS_DDL = "source_file string, month date, bars bigint, compacted boolean, ingest_batch int, generation int"
+# If no two bars of the batch share the lake's key, this key and the range of its symbols;
+# else, and in records of before there were these columns, NULL.
+SYMBOLS_DDL = "unique_key string, low string, high string"
+RUNS_DDL = (
+    "source_file string, month date, bars bigint, compacted boolean, "
+    f"{SYMBOLS_DDL}, ingest_batch int, generation int"
+)
 RETIRED_DDL = "path string, retired bigint"
 # Tables with a folder per generation.
 GENERATIONAL = ("silver", "quarantine", "runs", "files", "superseded")
@@ -156,13 +166,14 @@ def record_run(
     files: Sequence[Row] | None,
     *,
     compacted: bool = False,
+    merged: bool = False,
 ) -> None:
     """Record a finished batch: files it supersedes, its months, the files it covers.
 
     Bars are counted in the batch's own folder. ``files`` are the versions it has read,
     as many as one batch takes; None for a compaction. ``compacted`` says that the batch
     has the newest copy of every bar of its months, so that earlier batches are not
-    needed for them.
+    needed for them, and ``merged`` that it has no copies of its own, so none are looked for.
     """
     path = batch_folder(lake.silver, generation, batch)
     bars = read_table(spark, path, fmt=lake.fmt, schema=SILVER_DDL)
@@ -182,6 +193,9 @@ def record_run(
         lost = lost.select("source_file", "month").distinct()
         rows = rows.unionByName(lost.withColumn("bars", F.lit(0).cast("bigint")))
     rows = rows.withColumn("compacted", F.lit(compacted))
+    symbols = _symbols(bars, lake, merged)
+    for field, value in zip(StructType.fromDDL(SYMBOLS_DDL), symbols, strict=True):
+        rows = rows.withColumn(field.name, F.lit(value).cast(field.dataType))
     replace_table(rows.coalesce(1), batch_folder(lake.runs, generation, batch), fmt=lake.fmt)
     if files is not None:
         now = _now()
@@ -193,6 +207,34 @@ def record_run(
         )
 
 
+def unique_key(lake: Lake) -> str:
+    return ",".join(lake.key)
+
+
+def _symbols(
+    bars: DataFrame, lake: Lake, merged: bool
+) -> tuple[str | None, str | None, str | None]:
+    """The lake's key and the least and greatest symbol of a batch without copies, or
+    else NULLs. A bar without a complete key may be a copy of any other."""
+    if "symbol" not in lake.key:
+        return None, None, None
+    complete = reduce(and_, (F.col(name).isNotNull() for name in lake.key))
+    copies = F.lit(1)
+    if not merged:
+        bars, copies = bars.groupBy(*lake.key).agg(F.count(F.lit(1)).alias("n")), F.col("n")
+    found = bars.agg(
+        F.max(F.when(complete, copies)).alias("copies"),
+        F.min(complete).alias("complete"),
+        F.min("symbol").alias("low"),
+        F.max("symbol").alias("high"),
+    )
+    with run_once(bars.sparkSession):
+        found = found.first()
+    if found.copies != 1 or not found.complete:
+        return None, None, None
+    return unique_key(lake), found.low, found.high
+
+
 def read_runs(spark: SparkSession, lake: Lake, generation: int) -> DataFrame:
     """``source_file``, ``month``, ``bars``, ``compacted`` and ``ingest_batch`` of the
     finished batches of a generation."""
@@ -212,6 +254,16 @@ def stored_months(spark: SparkSession, lake: Lake, generation: int, limit: int)
     return rows if len(rows) <= limit else []
 
 
+def stored_parts(spark: SparkSession, lake: Lake, generation: int, limit: int) -> list[Row]:
+    """For each month and batch with bars of it, what ``SYMBOLS_DDL`` names. None if they
+    are more than ``limit``."""
+    runs = read_runs(spark, lake, generation).where("bars > 0")
+    names = StructType.fromDDL(SYMBOLS_DDL).names
+    parts = runs.select("month", BATCH, *names).distinct()
+    rows = parts.limit(limit + 1).collect()
+    return rows if len(rows) <= limit else []
+
+
 def newest_batch(spark: SparkSession, lake: Lake, generation: int) -> int | None:
     return read_runs(spark, lake, generation).agg(F.max(BATCH)).first()[0]
 

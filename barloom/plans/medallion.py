@@ -16,9 +16,10 @@ meanwhile is new to the next run.
 from __future__ import annotations
 
 import datetime
-from collections.abc import Iterator, Sequence
+from collections import defaultdict
+from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.operators.bars import (
@@ -55,7 +56,9 @@ from barloom.plans.ledger import (
     record_run,
     retire,
     stored_months,
+    stored_parts,
     sweep,
+    unique_key,
     without_superseded,
 )
 from barloom.schemas import QUARANTINE_DDL, SILVER_DDL
@@ -78,6 +81,8 @@ PROGRESS_DDL = "generation int, ingest_batch int"
 SILVER_ORDER = ("symbol", "datetime")
 # Months that a refresh names one by one; if more changed, gold is rebuilt.
 MAX_MONTHS = 1_200
+# Months times batches whose symbols a reader compares; if there are more, it ranks them.
+MAX_PARTS = 50_000
 # Bytes and files of one batch, if the caller does not say otherwise.
 MAX_BYTES, MAX_FILES = 256 * 2**30, 10_000
 
@@ -118,16 +123,17 @@ def write_silver_batch(
 
 
 def write_quarantine_batch(
-    documents: DataFrame,
+    spark: SparkSession,
+    documents: DataFrame | None,
     lake: Lake,
     generation: int,
     batch: int,
     processed_at: Column | None = None,
 ) -> None:
-    """Replace a batch's defects. ``documents`` are all defective; mostly there are none."""
+    """Replace a batch's defects. ``documents`` are all defective; None if there are none."""
     path = batch_folder(lake.quarantine, generation, batch)
-    if documents.isEmpty():
-        remove_folder(documents.sparkSession, path)
+    if documents is None:
+        remove_folder(spark, path)
         return
     rows = with_processed_at(quarantined(documents), processed_at)
     replace_table(rows, path, fmt=lake.fmt)
@@ -145,30 +151,31 @@ def write_batch(
 ) -> None:
     """The documents of some files to one batch of silver and quarantine, and its record.
 
-    The JSON is parsed once, into a columnar table partitioned by defect; bars
-    and quarantine are both read from that table, each only the folders and
-    columns it needs. A lost executor costs its tasks, not the parsing.
+    The JSON is parsed straight into silver; defects are counted on the way, and only if
+    there are any the files are read again, for quarantine. Nothing else is written.
     """
     raw = read_documents(
         spark, [row.path for row in files], glob=lake.glob, multi_line=lake.multi_line
     )
-    tagged = with_reason(raw).withColumn("reason", F.coalesce("reason", F.lit("none")))
-    replace_table(
-        tagged, lake.documents, fmt=lake.fmt, partition_by=("reason",), rebalance=False
-    )
-    documents = read_table(spark, lake.documents, fmt=lake.fmt, schema=tagged.schema)
-    good = documents.where(~F.col("reason").isin(*REJECTED))
-    bars = silver_bars(good, processed_at)
+    documents = with_reason(raw).withColumn("reason", F.coalesce("reason", F.lit("none")))
+    defective = F.col("reason") != "none"
+    defects = Observation()
+    seen = documents.observe(defects, F.max(defective).alias("any"))
+    bars = silver_bars(seen.where(~F.col("reason").isin(*REJECTED)), processed_at)
     placed = merge_copies and _dated(lake)
     if placed:
         bars = newest_copy(_by_dates(bars), key=lake.key, implied=("date", "month"))
     elif merge_copies:
         bars = newest_copy(bars, key=lake.key)
     write_silver_batch(bars, lake, generation, batch, rebalance=not placed)
-    defective = documents.where(F.col("reason") != "none")
-    write_quarantine_batch(defective, lake, generation, batch, processed_at)
+    # NULL if there are no documents at all.
+    found = documents.where(defective) if defects.get.get("any", True) else None
+    write_quarantine_batch(spark, found, lake, generation, batch, processed_at)
     # The first batch of a rebuild has no earlier ones to be compared with.
-    record_run(spark, lake, generation, batch, files, compacted=merge_copies and batch == 0)
+    compacted = merge_copies and batch == 0
+    record_run(
+        spark, lake, generation, batch, files, compacted=compacted, merged=merge_copies
+    )
 
 
 def file_batches(
@@ -327,7 +334,7 @@ def compact_silver(
     folders = runs.where(_in_months(months)).select(BATCH, "month").distinct().collect()
     bars = _newest(_stored_silver(spark, lake).where(_in_months(months)), lake, generation)
     write_silver_batch(bars, lake, generation, batch)
-    record_run(spark, lake, generation, batch, None, compacted=True)
+    record_run(spark, lake, generation, batch, None, compacted=True, merged=True)
     retire(
         spark,
         lake,
@@ -346,35 +353,73 @@ def _newest(stored: DataFrame, lake: Lake, generation: int) -> DataFrame:
     """The newest copy of each bar. Of two readings of one file the later one counts.
 
     Months that lie in one batch since they were compacted (or rebuilt) hold no copies:
-    they are read as they are, without an exchange. Only the others are ranked, by a
-    window, and batches from before their last compaction are not read. Date and month
-    follow from the key; as window keys they let filters through.
+    they are read as they are, without an exchange, and so is a batch that has no copies
+    itself and symbols that lie apart from those of the month's other batches. Only the
+    others are ranked, by a window, and batches from before a month's last compaction are
+    not read. Date and month follow from the key; as window keys they let filters through.
     """
     recency = ("ingested_at", "processed_at", BATCH, "source_file")
 
     def ranked(rows: DataFrame) -> DataFrame:
         return newest_copy(rows, key=lake.key, recency=recency, implied=("date", "month"))
 
-    months = stored_months(stored.sparkSession, lake, generation, MAX_MONTHS)
     # A bar's month follows from its time, not from a key of symbols alone.
-    if not any(row.since is not None for row in months) or not {"datetime", "date"} & set(lake.key):
+    if not {"datetime", "date"} & set(lake.key):
+        return ranked(stored).drop(BATCH)
+    spark = stored.sparkSession
+    months = stored_months(spark, lake, generation, MAX_MONTHS)
+    parts = defaultdict(list)
+    for part in stored_parts(spark, lake, generation, MAX_PARTS) if months else ():
+        parts[part.month].append(part)
+
+    # Of the folders that are read: what batches, and the months for which it is these.
+    plain, copies = defaultdict(list), defaultdict(list)
+    for row in months:
+        since = -1 if row.since is None else row.since
+        if row.last == since:
+            plain[frozenset([since])].append(row.month)
+            continue
+        alone, others = _apart([p for p in parts[row.month] if p[BATCH] >= since], lake)
+        if alone:
+            plain[alone].append(row.month)
+        if alone and others:
+            copies[others].append(row.month)
+        if not alone:
+            copies[since].append(row.month)
+    if not plain and set(copies) <= {-1}:
         return ranked(stored).drop(BATCH)
 
-    def rows_of(some: list[Row]) -> DataFrame:
-        """Months' rows since they were compacted: a static choice of folders."""
+    def rows_of(some: Mapping[frozenset[int] | int, list]) -> DataFrame:
+        """A static choice of folders: some batches, or all from one on."""
         chosen = F.lit(False)
-        for since in {row.since for row in some}:
-            named = _in_months([row.month for row in some if row.since == since])
-            chosen = chosen | (named if since is None else named & (F.col(BATCH) >= since))
+        for batches, named in some.items():
+            of = F.col(BATCH)
+            of = of >= batches if isinstance(batches, int) else of.isin(sorted(batches))
+            chosen = chosen | (_in_months(named) & of)
         return stored.where(F.coalesce(chosen, F.lit(False)))
 
-    settled = [row for row in months if row.last == row.since]
-    others = [row for row in months if row.last != row.since]
-    if not others:
-        return rows_of(settled).drop(BATCH)
-    if not settled:
-        return ranked(rows_of(others)).drop(BATCH)
-    return rows_of(settled).unionByName(ranked(rows_of(others))).drop(BATCH)
+    if not copies:
+        return rows_of(plain).drop(BATCH)
+    if not plain:
+        return ranked(rows_of(copies)).drop(BATCH)
+    return rows_of(plain).unionByName(ranked(rows_of(copies))).drop(BATCH)
+
+
+def _apart(parts: Sequence[Row], lake: Lake) -> tuple[frozenset[int], frozenset[int]]:
+    """Of a month's batches those that share no key with another and have no copies
+    themselves, and the others. Nothing is known of a batch that may have copies."""
+    batches = frozenset(part[BATCH] for part in parts)
+    if any(part.unique_key != unique_key(lake) for part in parts):
+        return frozenset(), batches
+    groups, reach = [], None
+    for part in sorted(parts, key=lambda part: part.low):
+        if reach is None or part.low > reach:
+            groups.append([])
+            reach = part.high
+        groups[-1].append(part[BATCH])
+        reach = max(reach, part.high)
+    alone = frozenset(group[0] for group in groups if len(group) == 1)
+    return alone, batches - alone
 
 
 def _in_months(months: Sequence[datetime.date | None]) -> Column:

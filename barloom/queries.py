@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Callable
 from functools import wraps
+from itertools import zip_longest
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,7 @@ from barloom.sources.tables import (
     read_gold,
     read_table,
     register_views,
+    remove_folder,
     replace_table,
 )
 from barloom.streaming.ingest import ingest_new
@@ -46,6 +48,9 @@ SYMBOL = "S1"
 LOOKUP_DATE = datetime.date(1998, 1, 5)
 SPLIT_DATE = datetime.date(1998, 1, 1)
 ZONES = ("America/New_York", "Europe/London", "Asia/Tokyo", "Australia/Sydney")
+# Documents of a landing run are compressed.
+LANDED = {"compression": "gzip"}
+LANDED_GLOB = "*.json.gz"
 
 REGISTRY: dict[str, Query] = {}
 
@@ -367,9 +372,8 @@ def silver_append(spark, sf_dir):
     return _prices(read_table(spark, path), "symbol", "date", "month")
 
 
-def _stale_and_new(spark, sf_dir):
+def _stale_and_new(bars):
     """Bars that arrive first, some of them wrong, and bars that arrive later."""
-    bars = daily_bars(spark, sf_dir)
     early = F.col("date") < F.lit(SPLIT_DATE)
     wrong = F.year("date") == SPLIT_DATE.year - 1
     stale = bars.where(early).withColumn("close", F.when(wrong, F.lit(0.0)).otherwise(F.col("close")))
@@ -378,12 +382,12 @@ def _stale_and_new(spark, sf_dir):
 
 def _land_run(bars, lake, run):
     documents = pack_documents(bars.withColumn("run", F.lit(run)), by=["run"])
-    land_documents(documents, lake.bronze, partition_by=["run"], rebalance=False)
+    land_documents(documents, lake.bronze, partition_by=["run"], rebalance=False, **LANDED)
 
 
-def _ingest_twice(spark, sf_dir, name, after_first=None):
-    lake = Lake(scratch_folder(spark, name))
-    stale, new = _stale_and_new(spark, sf_dir)
+def _ingest_twice(spark, bars, name, after_first=None):
+    lake = Lake(scratch_folder(spark, name), glob=LANDED_GLOB)
+    stale, new = _stale_and_new(bars)
     _land_run(stale, lake, "19980101_000000")
     ingest_new(spark, lake)
     if after_first is not None:
@@ -406,18 +410,29 @@ def _age(spark, path, days):
 
 
 def _rewrite(spark, path, source):
-    """Put the files of ``source`` in the place of those of ``path``, under their names."""
+    """Put the files of ``source`` in the place of those of ``path``, under their names.
+
+    There may be fewer or more of them: a file for which there is none loses its documents,
+    and one that has no place there keeps its own name.
+    """
     jvm = spark._jvm
     system = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
 
     def files(folder):
         found = system.listStatus(jvm.org.apache.hadoop.fs.Path(folder))
-        paths = [status.getPath() for status in found if status.getPath().getName().endswith(".json")]
+        paths = [status.getPath() for status in found if not status.getPath().getName().startswith(("_", "."))]
         return sorted(paths, key=lambda p: p.toString())
 
-    for old, new in zip(files(path), files(source), strict=True):
+    for old, new in zip_longest(files(path), files(source)):
+        if old is None:
+            system.rename(new, jvm.org.apache.hadoop.fs.Path(path, new.getName()))
+            continue
         system.delete(old, False)
-        system.rename(new, old)
+        if new is None:
+            # Not an empty file: a listing leaves these out.
+            jvm.java.util.zip.GZIPOutputStream(system.create(old)).close()
+        else:
+            system.rename(new, old)
 
 
 @query
@@ -427,18 +442,22 @@ def incremental_ingest(spark, sf_dir):
     The third landing has bars of its own, in files older than all others, under wrong
     symbols. The fourth rewrites these files, under their names.
     """
-    lake = _ingest_twice(spark, sf_dir, "incremental")
+    # All landings are made of the same bars: these are grouped once.
+    stored = scratch_folder(spark, "bars")
+    grouped = daily_bars(spark, sf_dir)
+    replace_table(grouped, stored)
+    bars = read_table(spark, stored, schema=grouped.schema)
+    lake = _ingest_twice(spark, bars, "incremental")
     ingest_new(spark, lake)
-    bars = daily_bars(spark, sf_dir)
     landed = []
     for prefix, root in (("W", lake.bronze), ("L", scratch_folder(spark, "rewritten"))):
         more = bars.withColumn("symbol", F.concat(F.lit(prefix), "symbol"))
-        # As many files either time.
-        land_documents(pack_documents(more).repartition(2), f"{root}/rewritten")
+        land_documents(pack_documents(more), f"{root}/rewritten", **LANDED)
         landed.append(f"{root}/rewritten")
         if prefix == "W":
             _age(spark, landed[0], 30)
         else:
+            remove_folder(spark, stored)
             _rewrite(spark, *landed)
         ingest_new(spark, lake)
     return _prices(read_silver(spark, lake), "symbol", "date")
@@ -447,7 +466,7 @@ def incremental_ingest(spark, sf_dir):
 @query
 def silver_date_lookup(spark, sf_dir):
     """One date of silver after two landings; only its month is read."""
-    lake = _ingest_twice(spark, sf_dir, "lookup")
+    lake = _ingest_twice(spark, daily_bars(spark, sf_dir), "lookup")
     return _prices(filters.on_date(read_silver(spark, lake), LOOKUP_DATE), "symbol", "date")
 
 
@@ -455,7 +474,10 @@ def silver_date_lookup(spark, sf_dir):
 def gold_partition_overwrite(spark, sf_dir):
     """Gold after a refresh of only the months the second landing touched."""
     lake = _ingest_twice(
-        spark, sf_dir, "refresh", lambda lake: update_gold(spark, lake, scale=SCALE)
+        spark,
+        daily_bars(spark, sf_dir),
+        "refresh",
+        lambda lake: update_gold(spark, lake, scale=SCALE),
     )
     update_gold(spark, lake, scale=SCALE)
     return read_gold(spark, lake.gold).daily_metrics.drop("month", "processed_at")
@@ -464,7 +486,7 @@ def gold_partition_overwrite(spark, sf_dir):
 @query
 def medallion(spark, sf_dir):
     """Documents to silver to gold, from the stored symbol and market tables."""
-    lake = Lake(scratch_folder(spark, "medallion"))
+    lake = Lake(scratch_folder(spark, "medallion"), glob=LANDED_GLOB)
     _land_run(daily_bars(spark, sf_dir), lake, "20020101_000000")
     bronze_to_silver(spark, lake)
     silver_to_gold(spark, lake, scale=SCALE)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.schemas import DOCUMENT_DDL, RAW_TEXT
-from barloom.sources.tables import literal
+from barloom.sources.tables import literal, run_once
 
 
 def _listed(spark: SparkSession, path: str | list[str], glob: str) -> DataFrame:
@@ -85,7 +85,12 @@ def read_documents(
 
 
 def land_documents(
-    documents: DataFrame, path: str, *, partition_by: Sequence[str] = (), rebalance: bool = True
+    documents: DataFrame,
+    path: str,
+    *,
+    partition_by: Sequence[str] = (),
+    rebalance: bool = True,
+    compression: str = "none",
 ) -> None:
     """Write documents as JSON lines, replacing only the folders written to.
 
@@ -95,17 +100,18 @@ def land_documents(
     ``rebalance=False`` for documents of a single folder that come straight from
     ``pack_documents``: its grouping has spread them already, and each task writes
     one file, without a second shuffle of all documents.
+
+    With ``compression="gzip"`` the files end in ``.json.gz``, which a ``Lake`` has to name
+    as its ``glob``. Such a file is read by one task.
     """
+    options = {"ignoreNullFields": False, "compression": compression}
     if not partition_by:
-        documents.select("chart").write.option("ignoreNullFields", False).mode("overwrite").json(path)
+        with run_once(documents.sparkSession):
+            documents.select("chart").write.options(**options).mode("overwrite").json(path)
         return
     chosen = documents.select("chart", *partition_by)
     if rebalance:
         chosen = chosen.hint("rebalance", *partition_by)
-    (
-        chosen.write.option("ignoreNullFields", False)
-        .option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-        .partitionBy(*partition_by)
-        .json(path)
-    )
+    writer = chosen.write.options(**options).option("partitionOverwriteMode", "dynamic")
+    with run_once(documents.sparkSession):
+        writer.mode("overwrite").partitionBy(*partition_by).json(path)

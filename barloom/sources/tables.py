@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
@@ -19,6 +20,7 @@ class GoldTables(NamedTuple):
     market_metrics: DataFrame
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 # Formats that are plain files; the others keep a schema of their own.
 FILE_FORMATS = ("parquet", "orc", "json")
 
@@ -82,6 +84,29 @@ def register_views(tables: Mapping[str, DataFrame]) -> None:
         frame.createOrReplaceTempView(name)
 
 
+@contextmanager
+def run_once(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what runs inside go as each run ends, not when the driver happens to
+    collect its garbage: of a job of many writes, disks hold one write's at a time.
+
+    For frames that are not run again. If one were, Spark would make its files again.
+    """
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
+def _save(writer: DataFrameWriter, df: DataFrame, path: str) -> None:
+    with run_once(df.sparkSession):
+        writer.save(path)
+
+
 def _writer(
     df: DataFrame, fmt: str, partition_by: Sequence[str], sort_by: Sequence[str], rebalance: bool
 ) -> DataFrameWriter:
@@ -99,6 +124,8 @@ def _writer(
     if sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
     writer = df.write.format(fmt)
+    if fmt == "parquet":
+        writer = writer.option("compression", "zstd")
     return writer.partitionBy(*partition_by) if partition_by else writer
 
 
@@ -111,7 +138,7 @@ def append_table(
     sort_by: Sequence[str] = (),
     rebalance: bool = True,
 ) -> None:
-    _writer(df, fmt, partition_by, sort_by, rebalance).mode("append").save(path)
+    _save(_writer(df, fmt, partition_by, sort_by, rebalance).mode("append"), df, path)
 
 
 def replace_table(
@@ -124,12 +151,8 @@ def replace_table(
     rebalance: bool = True,
 ) -> None:
     """Replace the whole table, whatever overwrite mode the session has."""
-    (
-        _writer(df, fmt, partition_by, sort_by, rebalance)
-        .option("partitionOverwriteMode", "static")
-        .mode("overwrite")
-        .save(path)
-    )
+    writer = _writer(df, fmt, partition_by, sort_by, rebalance)
+    _save(writer.option("partitionOverwriteMode", "static").mode("overwrite"), df, path)
 
 
 def replace_partitions(
@@ -142,9 +165,5 @@ def replace_partitions(
     rebalance: bool = True,
 ) -> None:
     """Replace the partitions ``df`` has rows for; leave the others alone."""
-    (
-        _writer(df, fmt, partition_by, sort_by, rebalance)
-        .option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-        .save(path)
-    )
+    writer = _writer(df, fmt, partition_by, sort_by, rebalance)
+    _save(writer.option("partitionOverwriteMode", "dynamic").mode("overwrite"), df, path)

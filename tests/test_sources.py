@@ -17,7 +17,14 @@ from barloom.session import (
     delta_conf,
     object_store_conf,
 )
-from barloom.sources import export_tables
+from barloom.sources import (
+    append_table,
+    export_tables,
+    land_documents,
+    read_documents,
+    read_table,
+    replace_table,
+)
 
 
 @pytest.fixture
@@ -99,3 +106,30 @@ def test_scratch_is_local_only_for_a_local_session():
     assert scratch_folder(StandIn("local[8]"), "x").startswith("/tmp/run-")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_folder(StandIn("yarn"), "x")
+
+
+def shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {blocks.apply(i).getName() for i in range(blocks.size()) if blocks.apply(i).getName().startswith("shuffle_")}
+
+
+def test_shuffle_files_go_with_their_write(spark, folder):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, kept = spark.conf.get(key), shuffle_files(spark)
+    rows = spark.range(1000).selectExpr("id % 7 AS k", "id").groupBy("k").agg({"id": "sum"}).toDF("k", "n")
+    replace_table(rows, f"{folder}/table")
+    append_table(rows, f"{folder}/table")
+    land_documents(rows.selectExpr("named_struct('k', k) AS chart"), f"{folder}/landed")
+    replace_table(rows, f"{folder}/parts", partition_by=["k"])
+    assert not shuffle_files(spark) - kept
+    assert spark.conf.get(key) == before
+    # A frame can still be written twice, and read after that.
+    assert read_table(spark, f"{folder}/table").count() == 14 and rows.count() == 7
+    assert sorted(r.n for r in rows.collect()) == sorted(r.n for r in read_table(spark, f"{folder}/parts").collect())
+
+
+def test_compressed_documents_are_read_by_their_ending(spark, folder):
+    documents = spark.sql("SELECT named_struct('result', null, 'error', 'none') AS chart")
+    land_documents(documents, folder, compression="gzip")
+    assert read_documents(spark, folder).count() == 0
+    assert [r.chart.error for r in read_documents(spark, folder, glob="*.json.gz").collect()] == ["none"]

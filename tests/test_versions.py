@@ -324,3 +324,105 @@ def test_compaction_from_the_command_line(spark, lake):
     assert closes(spark, lake) == [("A", JAN, 1.0), ("A", FEB, 1.0)]
     main(["ingest", "--root", lake.root, "--retention", "0"])
     assert read_table(spark, lake.silver).count() == 2
+
+
+def test_batches_of_symbols_that_lie_apart_are_read_without_an_exchange(spark, lake):
+    put(lake, "1.json", document(result("A", times=(JAN, FEB), close=[1.0, 1.0])))
+    ingest_new(spark, lake)
+    put(lake, "2.json", document(result("C", times=(JAN, FEB), close=[2.0, 2.0])))
+    put(lake, "3.json", document(result("D", times=(JAN,), close=[3.0])))
+    ingest_new(spark, lake)
+    plan = executed(read_silver(spark, lake))
+    assert "Exchange hashpartitioning" not in plan and "Window" not in plan
+    expected = [("A", JAN, 1.0), ("A", FEB, 1.0), ("C", JAN, 2.0), ("C", FEB, 2.0), ("D", JAN, 3.0)]
+    assert closes(spark, lake) == expected
+    # A correction between C and D: only these batches are ranked, and only in January.
+    put(lake, "4.json", *(document(result(s, times=(JAN,), close=[c])) for s, c in (("CC", 4.0), ("D", 5.0))))
+    ingest_new(spark, lake)
+    both = read_silver(spark, lake)
+    assert "Window" in executed(both)
+    assert closes(spark, lake) == [*expected[:4], ("CC", JAN, 4.0), ("D", JAN, 5.0)]
+    assert "Window" not in executed(on_date(both, datetime.date(2024, 2, 10)))
+    # A later version of a file, under a symbol that lies apart from all others.
+    put(lake, "1.json", document(result("Z", times=(JAN,), close=[6.0])))
+    ingest_new(spark, lake)
+    rest = [("C", JAN, 2.0), ("C", FEB, 2.0), ("CC", JAN, 4.0), ("D", JAN, 5.0)]
+    assert closes(spark, lake) == [*rest, ("Z", JAN, 6.0)]
+    compact_silver(spark, lake, [datetime.date(2024, 1, 1)])
+    assert closes(spark, lake) == [*rest, ("Z", JAN, 6.0)]
+
+
+def test_a_batch_with_copies_of_its_own_is_ranked(spark, lake):
+    put(lake, "1.json", document(result("A", times=(JAN, FEB), close=[1.0, 1.0])))
+    put(lake, "2.json", document(result("A", times=(JAN,), close=[2.0])))
+    os.utime(Path(lake.bronze, "1.json"), (JAN, JAN))
+    ingest_new(spark, lake)
+    put(lake, "3.json", document(result("B", times=(JAN,), close=[3.0])))
+    ingest_new(spark, lake)
+    assert closes(spark, lake) == [("A", JAN, 2.0), ("A", FEB, 1.0), ("B", JAN, 3.0)]
+    # By the day the bars of one batch are copies, though their times differ.
+    put(lake, "4.json", document(result("D", times=(JAN, JAN + 1), close=[4.0, 5.0])))
+    ingest_new(spark, lake)
+    daily = dataclasses.replace(lake, key=("symbol", "date"))
+    assert [r.symbol for r in read_silver(spark, daily).orderBy("symbol", "date").collect()] == ["A", "A", "B", "D"]
+    assert len(closes(spark, lake)) == 5
+
+
+def test_bars_without_a_symbol_or_a_time_are_no_reason_to_skip_the_ranking(spark, lake):
+    values = {"close": [1.0, 2.0, 2.0], "adjclose": None}
+    values |= {name: [None] * 3 for name in ("open", "high", "low", "volume")}
+    nameless = document(result(None, times=(JAN,), close=[3.0]))
+    put(lake, "1.json", document(result("A", times=(JAN, 2**60, 2**60), **values)), nameless, nameless)
+    ingest_new(spark, lake)
+    put(lake, "2.json", document(result("B", times=(JAN,), close=[4.0])))
+    ingest_new(spark, lake)
+    # Rows without a complete key are merged only if they are equal in every column.
+    assert sorted(r.close for r in read_silver(spark, lake).collect()) == [1.0, 2.0, 3.0, 4.0]
+
+
+def test_records_of_before_symbols_were_kept_are_ranked(spark, lake, monkeypatch):
+    with monkeypatch.context() as before:
+        before.setattr(ledger, "_symbols", lambda *args: (None, None, None))
+        put(lake, "1.json", document(result("A", times=(JAN,), close=[1.0])))
+        ingest_new(spark, lake)
+    put(lake, "2.json", document(result("A", times=(JAN,), close=[2.0])))
+    ingest_new(spark, lake)
+    assert closes(spark, lake) == [("A", JAN, 2.0)]
+    monkeypatch.setattr(medallion, "MAX_PARTS", 1)
+    assert closes(spark, lake) == [("A", JAN, 2.0)]
+
+
+def test_only_silver_and_defects_are_written_of_what_is_parsed(spark, lake):
+    put(lake, "1.json", document(result("A", times=(JAN,), close=[1.0])))
+    ingest_new(spark, lake)
+    put(lake, "2.json", document(result("B", times=(JAN,), close=[2.0])), "{bad")
+    ingest_new(spark, lake)
+    layers = {p.name for p in Path(lake.root).iterdir()}
+    assert layers == {"bronze", "silver", "quarantine", "runs", "files", "generations"}
+    assert [r.ingest_batch for r in read_table(spark, lake.quarantine).collect()] == [2]
+    assert [r.raw_text for r in read_quarantine(spark, lake).collect()] == ["{bad"]
+    assert closes(spark, lake) == [("A", JAN, 1.0), ("B", JAN, 2.0)]
+
+
+@pytest.mark.parametrize("files", [(3, 2), (2, 3), (2, 2)])
+def test_rewritten_landings_of_other_numbers_of_files(spark, folder, files):
+    from barloom.operators import pack_documents
+    from barloom.plans import Lake
+    from barloom.queries import LANDED, LANDED_GLOB, _rewrite
+    from barloom.sources import land_documents
+
+    lake = Lake(f"{folder}/lake", glob=LANDED_GLOB)
+    landed = []
+    for prefix, n, root in zip("WL", files, (lake.bronze, f"{folder}/new"), strict=True):
+        rows = [(f"{prefix}{i}", datetime.datetime(2024, 1, 10), float(i)) for i in range(n)]
+        bars = spark.createDataFrame(rows, "symbol string, datetime timestamp, close double")
+        landed.append(f"{root}/rewritten")
+        documents = pack_documents(bars).repartitionByRange(n, "symbol")
+        land_documents(documents, landed[-1], **LANDED)
+        assert len(list(Path(landed[-1]).glob("*.json.gz"))) == n
+        if prefix == "L":
+            _rewrite(spark, *landed)
+        ingest_new(spark, lake)
+    assert sorted((r.symbol, r.close) for r in read_silver(spark, lake).collect()) == [
+        (f"L{i}", float(i)) for i in range(files[1])
+    ]
