@@ -264,6 +264,16 @@ def stored_parts(spark: SparkSession, lake: Lake, generation: int, limit: int) -
     return rows if len(rows) <= limit else []
 
 
+def has_torn_batch(spark: SparkSession, lake: Lake, generation: int) -> bool:
+    """Whether silver has a batch without a record, of a run that is at work or has failed."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(generation_folder(lake.silver, generation))
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [entry.getPath().getName() for entry in system.listStatus(folder)]
+    written = {int(name.partition("=")[2]) for name in names if name.startswith(f"{BATCH}=")}
+    recorded = read_runs(spark, lake, generation).select(BATCH).distinct().collect()
+    return not written <= {row[BATCH] for row in recorded}
+
+
 def newest_batch(spark: SparkSession, lake: Lake, generation: int) -> int | None:
     return read_runs(spark, lake, generation).agg(F.max(BATCH)).first()[0]
 

@@ -49,6 +49,7 @@ from barloom.plans.ledger import (
     clear_generation,
     current_generation,
     generation_folder,
+    has_torn_batch,
     listed_versions,
     newest_batch,
     open_generation,
@@ -357,6 +358,8 @@ def _newest(stored: DataFrame, lake: Lake, generation: int) -> DataFrame:
     itself and symbols that lie apart from those of the month's other batches. Only the
     others are ranked, by a window, and batches from before a month's last compaction are
     not read. Date and month follow from the key; as window keys they let filters through.
+
+    While there is a batch without a record, nothing is known of what it has copies of.
     """
     recency = ("ingested_at", "processed_at", BATCH, "source_file")
 
@@ -368,15 +371,16 @@ def _newest(stored: DataFrame, lake: Lake, generation: int) -> DataFrame:
         return ranked(stored).drop(BATCH)
     spark = stored.sparkSession
     months = stored_months(spark, lake, generation, MAX_MONTHS)
+    torn = has_torn_batch(spark, lake, generation)
     parts = defaultdict(list)
-    for part in stored_parts(spark, lake, generation, MAX_PARTS) if months else ():
+    for part in stored_parts(spark, lake, generation, MAX_PARTS) if months and not torn else ():
         parts[part.month].append(part)
 
     # Of the folders that are read: what batches, and the months for which it is these.
     plain, copies = defaultdict(list), defaultdict(list)
     for row in months:
         since = -1 if row.since is None else row.since
-        if row.last == since:
+        if row.last == since and not torn:
             plain[frozenset([since])].append(row.month)
             continue
         alone, others = _apart([p for p in parts[row.month] if p[BATCH] >= since], lake)

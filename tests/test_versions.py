@@ -404,6 +404,30 @@ def test_only_silver_and_defects_are_written_of_what_is_parsed(spark, lake):
     assert closes(spark, lake) == [("A", JAN, 1.0), ("B", JAN, 2.0)]
 
 
+@pytest.mark.parametrize("job", [ingest_new, bronze_to_silver])
+def test_a_batch_without_a_record_is_ranked_with_all_others(spark, lake, monkeypatch, job):
+    put(lake, "1.json", document(result("A", times=(JAN,), close=[1.0])))
+    job(spark, lake)
+    put(lake, "2.json", document(result("B", times=(JAN,), close=[2.0])))
+    ingest_new(spark, lake)
+    put(lake, "1.json", document(result("A", times=(JAN,), close=[9.0])))
+    right = ledger.replace_table
+
+    def fail(frame, path, **options):
+        if path.startswith(lake.runs):
+            raise OSError("lost")
+        right(frame, path, **options)
+
+    with monkeypatch.context() as broken:
+        broken.setattr(ledger, "replace_table", fail)
+        with pytest.raises(OSError):
+            ingest_new(spark, lake)
+    expected = [("A", JAN, 9.0), ("B", JAN, 2.0)]
+    assert closes(spark, lake) == expected
+    assert len(ingest_new(spark, lake)) == 1
+    assert closes(spark, lake) == expected
+
+
 @pytest.mark.parametrize("files", [(3, 2), (2, 3), (2, 2)])
 def test_rewritten_landings_of_other_numbers_of_files(spark, folder, files):
     from barloom.operators import pack_documents
